@@ -33,8 +33,8 @@ def strip(value: Column) -> Column:
 
 
 def finite(value: Column) -> Column:
-    """NaN and infinities become null."""
-    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+    """NaN and infinities become null (NaN sorts above every number)."""
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def parse_number(value: Column) -> Column:

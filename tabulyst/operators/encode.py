@@ -16,6 +16,12 @@ from .quantile import column_medians
 
 SMOOTHING = 10.0
 ENCODED = "_encoded"
+WIDEST = 10_000
+
+
+def learned_medians(df: DataFrame, columns, rows=None) -> dict[str, float]:
+    cleaned = df.select(*[finite(col(c)).alias(c) for c in columns])
+    return {c: 0.0 if m is None else m for c, m in column_medians(cleaned, columns, rows=rows).items()}
 
 
 def smoothed(count: Column, total: Column, prior: Column, strength: float = SMOOTHING) -> Column:
@@ -52,11 +58,12 @@ class TargetEncoder:
         self.strength = strength
         self.map_keys = map_keys
 
-    def fit(self, df, numeric, categorical, label: str, fold: str | None = None, rows=None):
+    def fit(
+        self, df, numeric, categorical, label: str, fold: str | None = None, rows=None, nullable=None
+    ):
+        """`nullable` names the numeric columns that can hold nulls, all of them by default."""
         self.numeric, self.categorical, self.fold = list(numeric), list(categorical), fold
-        cleaned = df.withColumns({c: finite(col(c)) for c in self.numeric}) if self.numeric else df
-        found = column_medians(cleaned, self.numeric, rows=rows)
-        self.medians = {c: 0.0 if m is None else m for c, m in found.items()}
+        self.medians = learned_medians(df, numeric if nullable is None else nullable, rows)
         self.lookups, self.priors = {}, [0.0] * (self.folds + 1)
         if self.categorical:
             table, self.priors = category_means(
@@ -83,9 +90,9 @@ class TargetEncoder:
 
     def transform(self, df: DataFrame, train: bool = False) -> DataFrame:
         out = df
-        if self.numeric:
+        if self.medians:
             out = out.withColumns(
-                {c: F.coalesce(finite(col(c)), F.lit(float(self.medians[c]))) for c in self.numeric}
+                {c: F.coalesce(finite(col(c)), F.lit(float(m))) for c, m in self.medians.items()}
             )
         priors = F.array(*map(F.lit, self.priors))
         slot = col(self.fold) + 1 if train and self.fold else F.lit(0)
@@ -101,10 +108,9 @@ class TargetEncoder:
 class OneHotEncoder:
     """0/1 columns for every training category; a new category gets zeros everywhere."""
 
-    def fit(self, df, numeric, categorical, label=None, fold=None, rows=None):
+    def fit(self, df, numeric, categorical, label=None, fold=None, rows=None, nullable=None):
         self.numeric, self.categorical = list(numeric), list(categorical)
-        found = column_medians(df, self.numeric, rows=rows)
-        self.medians = {c: 0.0 if m is None else m for c, m in found.items()}
+        self.medians = learned_medians(df, numeric if nullable is None else nullable, rows)
         self.vocabulary: dict[str, list[str]] = {c: [] for c in self.categorical}
         if self.categorical:
             # The dense matrix below has one column per entry, so the vocabulary must be small anyway.
@@ -113,7 +119,10 @@ class OneHotEncoder:
                 .unpivot([], list(map(col, self.categorical)), "column", "key")
                 .distinct()
             )
-            for row in seen.orderBy("column", "key").collect():
+            entries = seen.orderBy("column", "key").limit(WIDEST + 1).collect()
+            if len(entries) > WIDEST:
+                raise ValueError(f"More than {WIDEST} categories: use target encoding")
+            for row in entries:
                 self.vocabulary[row["column"]].append(row["key"])
         return self
 
@@ -122,7 +131,7 @@ class OneHotEncoder:
         return self.numeric + [f"{c}_{k}" for c in self.categorical for k in self.vocabulary[c]]
 
     def transform(self, df: DataFrame, train: bool = False) -> DataFrame:
-        filled = {c: F.coalesce(finite(col(c)), F.lit(float(self.medians[c]))) for c in self.numeric}
+        filled = {c: F.coalesce(finite(col(c)), F.lit(float(m))) for c, m in self.medians.items()}
         flags = {
             f"{c}_{k}": F.when(col(c) == k, 1.0).otherwise(0.0)
             for c in self.categorical

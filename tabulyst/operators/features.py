@@ -49,14 +49,15 @@ class HouseFeatures:
     def uses_groups(self) -> bool:
         return self.feature_set in ("extended", "peer")
 
-    def fit(self, df: DataFrame, rows: int | None = None) -> "HouseFeatures":
+    def fit(self, df: DataFrame, rows: int | None = None, complete=None) -> "HouseFeatures":
+        """`complete` lists the columns without a raw null, if `df` is cleaned already."""
         roles = self.roles
         cleaned = clean(df, roles)
         found = column_medians(cleaned, roles.numeric, rows=rows)
         self.medians = {c: 0.0 if m is None else m for c, m in found.items()}
         self.active = list(roles.features)
         if self.missing_policy == "drop":
-            self.active = complete_columns(df, roles.features)
+            self.active = complete_columns(df, roles.features) if complete is None else list(complete)
         self.groups, self.global_size = None, None
         if self.uses_groups:
             sized = self._filled(cleaned).select(col(roles.group).alias("key"), total_size(roles).alias("size"))
