@@ -161,7 +161,7 @@ def spearman_target(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
     return result.withColumn("p_value", _two_sided_p("spearman", "rows"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided_p(rho: pd.Series, rows: pd.Series) -> pd.Series:
     return pd.Series([correlation_p_value(r, n) for r, n in zip(rho, rows)])
 

@@ -218,17 +218,21 @@ def crossfit_metrics(spark, directory):
     return rounded(out, 6, *[c for c in out.columns if c not in ("fold", "rows")])
 
 
+def log_price(df: DataFrame, *keys: str) -> DataFrame:
+    """Means of prices in cents often end in a 5; their logs round alike in every engine."""
+    return df.select(*keys, F.round(F.log("Peer_Comp_Price"), 8).alias("log_peer_price"))
+
+
 def knn_peer_price(spark, directory):
     frame = staged(spark, directory)
     peers = PeerComparables(ROLES).fit(frame, "label")
-    return rounded(peers.transform(frame).select("id", "Peer_Comp_Price"), 4, "Peer_Comp_Price")
+    return log_price(peers.transform(frame), "id")
 
 
 def knn_peer_crossfit(spark, directory):
     frame = with_folds(spark, directory)
     peers = PeerComparables(ROLES).fit_folds(frame, "label", "fold", FOLDS)
-    out = peers.transform(frame, fold="fold").select("id", "fold", "Peer_Comp_Price")
-    return rounded(out, 4, "Peer_Comp_Price")
+    return log_price(peers.transform(frame, fold="fold"), "id", "fold")
 
 
 # --- metrics -------------------------------------------------------------------------------------
