@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tabulyst.config import TrainConfig
 from tabulyst.plans.eda import profile
+from tabulyst.plans.listing import listing
 from tabulyst.plans.predict import predict, predict_frame
 from tabulyst.plans.report import report_tables
 from tabulyst.plans.train import load_artifact, train
-from tabulyst.roles import LISTING
+from tabulyst.roles import ORDER_LISTING
 from tabulyst.sources.csv import POSITION, drop_duplicates, read_csv, training_rows, with_position
 from tabulyst.sources.demo import make_listings, write_listings
 from tabulyst.sources.sinks import read_json, table_fingerprint, write_json
@@ -119,27 +120,32 @@ def test_jobs_from_file_to_file(spark, tmp_path):
 
 
 def test_holdout_labels_change_nothing_but_holdout_metrics(spark, tmp_path):
-    frame = make_listings(spark, 100).cache()
+    frame = listing(spark, "/root/testdata/sf0.001").where("cast(id as int) < 100").cache()
     config = TrainConfig(
-        models=("ridge",), feature_sets=("original",), target_transforms=("log",), encoding="onehot",
+        models=("ridge",), feature_sets=("original",), target_transforms=("raw",), encoding="onehot",
         cv_folds=2, search_iterations=2,
     )
-    first = train(spark, frame, str(tmp_path / "a"), config)
-    assert spark.read.parquet(str(tmp_path / "a/search_ridge__original__log")).count() == 12
+    first = train(spark, frame, str(tmp_path / "a"), config, ORDER_LISTING)
+    assert spark.read.parquet(str(tmp_path / "a/search_ridge__original__raw")).count() == 12
     held = spark.read.parquet(str(tmp_path / "a/split_assignments")).where("partition = 'holdout'")
-    held = [r["Id"] for r in held.collect()]
+    held = [r["id"] for r in held.collect()]
+    assert len(held) == 20
     changed = frame.withColumn(
-        "SalePrice", F.when(F.col("Id").isin(held), F.col("SalePrice") * 5).otherwise(F.col("SalePrice"))
+        "label", F.when(F.col("id").isin(held), F.col("label") * 5).otherwise(F.col("label"))
     )
-    second = train(spark, changed, str(tmp_path / "b"), config)
+    second = train(spark, changed, str(tmp_path / "b"), config, ORDER_LISTING)
     a, b = first["metadata"], second["metadata"]
     assert a["selected_model"] == b["selected_model"]
-    assert a["smearing_factor"] == pytest.approx(b["smearing_factor"], rel=1e-9)
+    assert a["smearing_factor"] == b["smearing_factor"] == 1.0
     assert a["metrics"]["validation"] == pytest.approx(b["metrics"]["validation"], rel=1e-9)
     assert a["metrics"]["holdout"] != b["metrics"]["holdout"]
-    sample = frame.limit(5)
     scored = [
-        {r["Id"]: r["SalePrice"] for r in predict_frame(load_artifact(spark, m["model_path"])[0], sample).collect()}
+        {
+            r["id"]: r["label"]
+            for r in predict_frame(
+                load_artifact(spark, m["model_path"], ORDER_LISTING)[0], frame.limit(5)
+            ).collect()
+        }
         for m in (first, second)
     ]
     assert scored[0] == pytest.approx(scored[1], rel=1e-9)
