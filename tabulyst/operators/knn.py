@@ -184,7 +184,11 @@ class CellTree:
 
     def _measured(self, asked: DataFrame) -> DataFrame:
         """Join query points with the points of a cell: at most 2^cell_bits rows per match."""
-        pairs = asked.join(self.points.drop("curve"), ["model", "zone", "cell"])
+        # A query row meets many points, so its bytes say little about its work: keep all tasks.
+        # The ranking by query that follows needs this partitioning as well.
+        tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = asked.repartition(tasks, *QUERY)
+        pairs = spread.join(self.points.drop("curve"), ["model", "zone", "cell"])
         gap = [F.col(a) - F.col(f"q_{a}_min") for a in AXES]
         return pairs.withColumn("d2", self.axes.squared(gap))
 
