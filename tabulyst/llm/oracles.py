@@ -26,3 +26,24 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM words_d d LEFT JOIN hit h USING (k) LEFT JOIN named m USING (k)
 """
+
+JACCARD = rf"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT k, array_to_string(list_slice(w, i, i + least(4, len(w)) - 1), ' ') AS s
+  FROM (SELECT k, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM w WHERE len(w) > 0)),
+size AS (SELECT k, count(*) AS n FROM sh GROUP BY k),
+overlap AS (SELECT a.k AS x, b.k AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.k < b.k GROUP BY ALL),
+link AS (
+  SELECT x, y FROM overlap JOIN size nx ON nx.k = x JOIN size ny ON ny.k = y
+  WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(k, r) AS (
+  SELECT k, k FROM w UNION SELECT reach.k, both_ways.y FROM reach JOIN both_ways ON both_ways.x = reach.r)
+SELECT w.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, least.component_id
+FROM w LEFT JOIN size USING (k)
+JOIN (SELECT reach.k, min(o.doc_id) AS component_id FROM reach JOIN w o ON o.k = reach.r GROUP BY reach.k) least USING (k)
+"""

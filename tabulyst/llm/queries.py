@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import oracles
+from tabulyst.llm import jaccard, oracles
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +16,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.digest(leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
 }
 
 LLM_ORACLES = {
     "op1_decontaminate": oracles.DECONTAMINATE,
+    "op4_ngram_jaccard": oracles.JACCARD,
 }
