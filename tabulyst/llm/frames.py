@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +59,24 @@ def id_key(column: str):
 def crc_class(column: str, modulus: int):
     """crc32 of the id as text, modulo `modulus`; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+#: Bits of a key map: 8 MB whatever the number of keys. A full map turns nothing away, so it may only
+#: save the moving of rows that an exact join drops later.
+MAP_BITS = 26
+
+
+def key_map(keys: DataFrame) -> np.ndarray:
+    """Bit map of the leading bits of all `key`s (64-bit hashes), summed up in Spark."""
+    slots = keys.select(F.shiftrightunsigned("key", 64 - MAP_BITS).alias("slot"))
+    words = slots.select(F.shiftrightunsigned("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot % 64 AS INT))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be in the map."""
+    slot = keys.view(np.uint64) >> np.uint64(64 - MAP_BITS)
+    return ((bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)

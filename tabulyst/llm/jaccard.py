@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulyst.llm.components import components
-from tabulyst.llm.frames import Stages, id_key, pick
+from tabulyst.llm.frames import Stages, id_key, in_map, key_map, pick
 from tabulyst.llm.textbytes import NONSPACE, HashSet, Words, chunks, mix, split_words, utf8, windows
 
 SHINGLE = 4
@@ -35,8 +35,6 @@ OVERLAP_PART, UNION_PART = 85, 100
 #: It only orders columns; every order gives the same links. So at most a million hashes are broadcast.
 FREQUENT = 48
 FREQUENT_SHARE = 1_000_000
-#: Bits of the map of nodes whose sets are needed; a full map only means that more sets are moved.
-MAP_BITS = 26
 PIVOT_ROUNDS = 2
 #: Bounds of the blocks of columns of the product.
 BLOCKS = np.append(np.arange(8, dtype=np.uint64) << np.uint64(61), np.uint64(2**64 - 1))
@@ -137,12 +135,9 @@ def _whole(broadcast, n: int):
     """(node, shingles) of rows whose key may be needed, each node once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: np.ndarray = broadcast.value
         seen: set[int] = set()
         for batch in batches:
-            slot = batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - MAP_BITS)
-            wanted = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
-            batch = batch.filter(pa.array(wanted.astype(bool)))
+            batch = batch.filter(pa.array(in_map(broadcast.value, batch.column("key").to_numpy())))
             for _, _, sets in _sets_of(batch, n) if len(batch) else ():
                 out = {node: own for own in sets if len(own) and (node := set_hash(own)) not in seen}
                 seen.update(out)
@@ -151,16 +146,6 @@ def _whole(broadcast, n: int):
     return run
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Map of MAP_BITS bits with the bits of all keys set: 8 MB at most, whatever the number of keys."""
-    slots = keys.select(F.shiftrightunsigned("key", 64 - MAP_BITS).alias("slot"))
-    words = slots.select(F.shiftrightunsigned("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot % 64 AS INT))").alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return out.view(np.uint8)
-
-
 def _least_overlap(n, m):
     """SQL expression: shingles that sets of n and m shingles must share to link."""
     total = OVERLAP_PART + UNION_PART
@@ -263,7 +248,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     entries = _entries(plain, read, shingle, stages)
     used = rows.where("n > 0").join(entries.select("node").distinct(), "node").groupBy("node").agg(F.min("key").alias("key"))
     used = stages.keep(used, "used")
-    sets = plain.select("key", "text").mapInArrow(_whole(context.broadcast(_bitmap(used)), shingle), "node bigint, shingles array<bigint>")
+    sets = plain.select("key", "text").mapInArrow(_whole(context.broadcast(key_map(used)), shingle), "node bigint, shingles array<bigint>")
     sets = sets.join(used.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
     return _answer(rows, _roots(entries, stages.keep(sets, "sets"), stages), stages)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import jaccard, oracles, packing
+from tabulyst.llm import jaccard, oracles, packing, spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +24,15 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"))))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup_spans(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 LLM_ORACLES = {
