@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import jaccard, oracles, packing, spans
+from tabulyst.llm import fingerprint, jaccard, oracles, packing, spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_likeness(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"))))
 
@@ -31,6 +35,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op7_order_minhash": op7_order_minhash,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
