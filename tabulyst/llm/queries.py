@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import fingerprint, jaccard, oracles, packing, spans
+from tabulyst.llm import fingerprint, jaccard, language, oracles, packing, spans
+from tabulyst.llm.frames import crc_class
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +18,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.digest(leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(language.training_rows(docs)))
+    return found.select("doc_id", (crc_class("doc_id", 5) == 0).alias("held_out"), "lang_pred", F.col("score"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_language_mixture": op2_language_mixture,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op7_order_minhash": op7_order_minhash,
     "op8_best_fit_packing": op8_best_fit_packing,
