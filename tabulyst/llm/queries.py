@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import fingerprint, jaccard, language, oracles, packing, spans
+from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, spans
 from tabulyst.llm.frames import crc_class
 
 
@@ -24,6 +24,10 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_class("doc_id", 5) == 0).alias("held_out"), "lang_pred", F.col("score"))
 
 
+def op3_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_mixture": op2_language_mixture,
+    "op3_html_density": op3_html_density,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op7_order_minhash": op7_order_minhash,
     "op8_best_fit_packing": op8_best_fit_packing,
