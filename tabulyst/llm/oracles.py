@@ -47,3 +47,41 @@ SELECT w.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, least.compon
 FROM w LEFT JOIN size USING (k)
 JOIN (SELECT reach.k, min(o.doc_id) AS component_id FROM reach JOIN w o ON o.k = reach.r GROUP BY reach.k) least USING (k)
 """
+
+_ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _found(kind: str, rank: int, pattern: str, least: int, group: int, more: str = "") -> str:
+    return rf"""
+  SELECT k, owner, '{kind}' AS kind, {rank} AS rank, value, p + length(before) - length(whole) AS start, p + length(before) AS "end" FROM (
+    SELECT *, sum(length(before) + length(whole)) OVER (PARTITION BY k ORDER BY i) - length(before) AS p FROM (
+      SELECT k, owner, unnest(generate_series(1, len(regexp_extract_all(t, '{pattern}', 0)))) AS i,
+             unnest(string_split_regex(t, '{pattern}')[1:len(regexp_extract_all(t, '{pattern}', 0))]) AS before,
+             unnest(regexp_extract_all(t, '{pattern}', 0)) AS whole, unnest(regexp_extract_all(t, '{pattern}', {group})) AS value
+      FROM d WHERE regexp_matches(t, '{pattern}')))
+  WHERE length(value) >= {least}{more}"""
+
+
+SECRETS = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+m AS ({_found('assign', 1, _ASSIGN, 8, 2)} UNION ALL {_found('access', 2, 'AKIA[A-Z0-9]+', 16, 0)}
+  UNION ALL {_found('hex', 3, '[0-9a-f]+', 32, 0)}
+  UNION ALL {_found('mixed', 4, '[A-Za-z0-9_-]{24,}', 24, 0, " AND regexp_matches(value, '[0-9].*[0-9].*[0-9]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]')")}),
+held AS (SELECT value, count(DISTINCT owner) AS n FROM m GROUP BY value),
+v AS (SELECT m.*, n <= 3 AS live FROM m JOIN held USING (value)),
+s AS (
+  SELECT * FROM v WHERE kind <> 'mixed'
+  UNION ALL
+  SELECT * FROM v a WHERE kind = 'mixed' AND live AND NOT EXISTS (
+    SELECT 1 FROM v b WHERE b.kind <> 'mixed' AND b.k = a.k AND a.start < b."end" AND b.start < a."end")),
+g AS (
+  SELECT k, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied,
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST("end" AS BIGINT), ',' ORDER BY start, rank) FILTER (kind <> 'mixed') AS base,
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST("end" AS BIGINT), ',' ORDER BY start, rank) AS spans
+  FROM s GROUP BY k)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_copied, 0) AS BIGINT) AS n_copied
+FROM d LEFT JOIN g USING (k)
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, spans
+from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, secrets, spans
 from tabulyst.llm.frames import crc_class
 
 
@@ -32,6 +32,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_likeness(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ LLM_QUERIES = {
     "op2_language_mixture": op2_language_mixture,
     "op3_html_density": op3_html_density,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_secret_scan": op5_secret_scan,
     "op7_order_minhash": op7_order_minhash,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_substring_dedup": op10_substring_dedup,
@@ -57,4 +62,5 @@ LLM_QUERIES = {
 LLM_ORACLES = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op4_ngram_jaccard": oracles.JACCARD,
+    "op5_secret_scan": oracles.SECRETS,
 }
