@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, secrets, spans
+from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, secrets, spans, toxicity
 from tabulyst.llm.frames import crc_class
 
 
@@ -36,6 +36,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (crc_class("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_likeness(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ LLM_QUERIES = {
     "op3_html_density": op3_html_density,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_secret_scan": op5_secret_scan,
+    "op6_toxicity": op6_toxicity,
     "op7_order_minhash": op7_order_minhash,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_substring_dedup": op10_substring_dedup,
