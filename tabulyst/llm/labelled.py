@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tabulyst.llm.frames import crc_class, pick
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, bounds: dict[int, int], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, label, weight, draw) of labelled documents that may be learned from.
+def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, bounds: dict[int, int], doc_id: str = "doc_id", text: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, label, weight, draw, `more`) of labelled documents that may be learned from.
 
     Rows whose crc32 of the id as text modulo `modulus` is `held_out`, null labels and null ids are left out; of
     several labels of an id the greatest counts. About bounds[label] ids of each label are drawn by
@@ -27,6 +27,6 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_ou
         drawn = part if drawn is None else drawn.union(part)
     if drawn is None:
         drawn = known.withColumn("weight", F.lit(1.0))
-    texts = pick(docs, {"doc_id": doc_id, "text": text})
+    texts = pick(docs, {"doc_id": doc_id, "text": text} | {x: x for x in more})
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("part")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    return texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label", "weight", draw.alias("draw"))
+    return texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label", "weight", draw.alias("draw"), *more)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, secrets, spans, toxicity
+from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, quality, secrets, spans, toxicity
 from tabulyst.llm.frames import crc_class
 
 
@@ -50,6 +50,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"))))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (crc_class("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup_spans(table(spark, sf_dir, "documents"))
 
@@ -63,6 +69,7 @@ LLM_QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_order_minhash": op7_order_minhash,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
