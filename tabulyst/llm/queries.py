@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_pipeline import run as run_pipeline
 from tabulyst.llm import decontaminate as leaks
 from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, quality, secrets, spans, toxicity
 from tabulyst.llm.frames import crc_class
@@ -60,6 +61,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup_spans(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_pipeline(spark, sf_dir)
+
+
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_mixture": op2_language_mixture,
@@ -71,6 +76,7 @@ LLM_QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": pipeline,
 }
 
 LLM_ORACLES = {
