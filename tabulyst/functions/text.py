@@ -37,6 +37,14 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) < float("inf"), value)
 
 
+def absent(df: DataFrame, name: str) -> Column:
+    """Whether the column has no value: null, or NaN in a floating-point column."""
+    gone = col(name).isNull()
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        gone = gone | F.isnan(col(name))
+    return gone
+
+
 def parse_number(value: Column) -> Column:
     bare = strip(value)
     return finite(F.when(bare.rlike(NUMBER), bare.try_cast("double")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.lookup import Lookup
-from ..functions.text import as_number, clean_category, col
+from ..functions.text import absent, as_number, clean_category, col
 from ..roles import (
     AGE, PEER_PRICE, QUALITY_SIZE, RELATIVE_SIZE, TOTAL_BATH, TOTAL_SIZE, Roles,
 )
@@ -35,7 +35,7 @@ def total_size(roles: Roles):
     return sum(rest, first)
 
 
-class HouseFeatures:
+class RoleFeatures:
     """Fitted state: medians, active columns, group size medians and their global fallback."""
 
     def __init__(self, roles: Roles, feature_set: str = "engineered", missing_policy: str = "impute"):
@@ -49,7 +49,7 @@ class HouseFeatures:
     def uses_groups(self) -> bool:
         return self.feature_set in ("extended", "peer")
 
-    def fit(self, df: DataFrame, rows: int | None = None, complete=None) -> "HouseFeatures":
+    def fit(self, df: DataFrame, rows: int | None = None, complete=None) -> "RoleFeatures":
         """`complete` lists the columns without a raw null, if `df` is cleaned already."""
         roles = self.roles
         cleaned = clean(df, roles)
@@ -114,6 +114,6 @@ class HouseFeatures:
 
 
 def complete_columns(df: DataFrame, columns) -> list[str]:
-    """Columns without a raw null, in the given order; decided by one aggregate."""
-    counts = df.agg(*[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    """Columns without an absent raw value (null or NaN), in the given order; decided by one aggregate."""
+    counts = df.agg(*[F.count_if(absent(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     return [c for i, c in enumerate(columns) if counts[f"n{i}"] == 0]

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.text import MISSING, col
+from ..functions.text import MISSING, absent, col
 from ..scratch import materialize
 from .ordering import running_total
 from .quantile import DIRECT_VALUES, quantile_table
@@ -24,15 +24,9 @@ QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
 
 def missing_profile(df: DataFrame) -> DataFrame:
     """(column, missing_rows, missing_percent) over the raw rows; NaN counts as missing."""
-    def absent(name):
-        gone = col(name).isNull()
-        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            gone = gone | F.isnan(col(name))
-        return gone
-
     counts = df.agg(
         F.count("*").alias("rows"),
-        *[F.count_if(absent(c)).alias(f"m{i}") for i, c in enumerate(df.columns)],
+        *[F.count_if(absent(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)],
     )
     cells = [
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_rows"))
@@ -52,17 +46,14 @@ def numeric_summary(
     df: DataFrame, columns: Sequence[str], direct_values: int = DIRECT_VALUES
 ) -> DataFrame:
     """count, mean, std (n-1), min, exact quartiles, max per numeric column."""
-    moments = (
-        _long(df, columns)
-        .groupBy("column")
-        .agg(
-            F.count("v").alias("count"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        )
-    )
+    typed = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = typed.agg(*[f(f"c{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in parts.items()])
+    cells = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{n}{i}").alias(n) for n in parts])
+        for i, c in enumerate(columns)
+    ]
+    moments = wide.select(F.inline(F.array(*cells)))
     quartiles = quantile_table(df, columns, list(QUARTILES), direct_values=direct_values)
     wide = quartiles.groupBy("column").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in QUARTILES.items()]
@@ -173,8 +164,6 @@ def correlation_p_value(rho: float, rows: int) -> float | None:
         return None
     if abs(rho) >= 1.0:
         return 0.0
-    if freedom > 1_000_000:
-        return math.erfc(abs(rho) * math.sqrt(freedom / (1.0 - rho * rho) / 2.0))
     # P(|T| > t) = I(freedom / (freedom + t^2); freedom / 2, 1/2) and here that argument is 1 - rho^2.
     return _incomplete_beta(freedom / 2.0, 0.5, 1.0 - rho * rho)
 
@@ -186,9 +175,10 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
         return 1.0 - _incomplete_beta(b, a, 1.0 - x)
     log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x)
     front = math.exp(log_front + b * math.log1p(-x)) / a
-    # Even and odd terms of the continued fraction, evaluated from the tail.
+    # Even and odd terms of the continued fraction, evaluated from the tail; it settles after about
+    # the square root of the larger parameter.
     tail = 1.0
-    for m in range(5000, 0, -1):
+    for m in range(200 + 10 * math.isqrt(int(max(a, b)) + 1), 0, -1):
         odd = -(a + m - 1) * (a + b + m - 1) * x / ((a + 2 * m - 2) * (a + 2 * m - 1))
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         tail = 1.0 + odd / (1.0 + even / tail)

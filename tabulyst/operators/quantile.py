@@ -2,7 +2,8 @@
 
 Small inputs use `percentile`, whose buffer holds every distinct value of a group. Larger ones are
 narrowed first: equal values collapse to (value, count), approximate cuts split what is left, and
-only the slots that hold the wanted ranks go on, until each group is small. Both give exact values.
+only the slots that hold the wanted ranks go on, until each group is small. Both give the same rows: one
+for every group, null keys included, and a null value where a group has none.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def quantile_table(
     direct_values: int = DIRECT_VALUES,
     rows: int | None = None,
 ) -> DataFrame:
-    """One row per group, column and prob with the exact `value`; nulls are skipped."""
+    """One row per group, column and prob with the exact `value`, null if there is none; nulls are skipped."""
     rows = df.count() if rows is None else rows
     values = df.select(*map(col, by), *[col(c).cast("double").alias(c) for c in columns])
     if rows * len(columns) <= direct_values:
@@ -66,10 +67,16 @@ def _direct(values, columns, probs, by):
 
 
 def _narrowed(values, columns, probs, by, limit):
-    keys = [*by, "column"]
+    # Groups are one struct: its equality takes null keys as equal, in grouping and in joins.
+    group = F.struct(*map(col, by)) if by else F.struct(F.lit(0).alias("_all"))
+    values = values.select(group.alias("g"), *map(col, columns))
+    wanted = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob")) for c in columns for p in probs])
+    seen = values.select("g").distinct() if by else values.sparkSession.range(1).select(group.alias("g"))
+    asked = seen.select("g", F.inline(wanted))
+    keys = ["g", "column"]
     group = [*keys, "prob"]
     cells = materialize(
-        values.unpivot(list(map(col, by)), list(map(col, columns)), "column", "v")
+        values.unpivot("g", list(map(col, columns)), "column", "v")
         .where(F.col("v").isNotNull())
         .groupBy(*keys, "v")
         .agg(F.count("*").alias("c"))
@@ -88,40 +95,44 @@ def _narrowed(values, columns, probs, by, limit):
         )
     )
     band = cells.join(targets, keys)
-    running = Window.partitionBy(*group).orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    while band.groupBy(*group).agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] > limit:
-        steps = F.array(*[F.lit(i / SLOTS) for i in range(1, SLOTS)])
-        cuts = materialize(
-            band.groupBy(*group).agg(
-                F.percentile_approx("v", steps, F.lit(CUT_ACCURACY)).alias("cuts")
-            )
-        )
-        slot = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
-        tagged = band.join(cuts, group).withColumn("slot", slot).drop("cuts")
-        kept = materialize(
-            tagged.groupBy(*group, "first", "last", "below", "slot")
-            .agg(F.sum("c").alias("c"))
-            .withColumn("upto", F.col("below") + F.sum("c").over(running))
-            .withColumn("start", F.col("upto") - F.col("c"))
-            .where("upto > first and start <= last")
-            .groupBy(*group)
-            .agg(
-                F.min("slot").alias("from_slot"),
-                F.max("slot").alias("to_slot"),
-                F.min("start").alias("new_below"),
-            )
-        )
-        band = materialize(
-            tagged.join(kept, group)
-            .where("slot between from_slot and to_slot")
-            .select(*group, "v", "c", "rank", "first", "last", F.col("new_below").alias("below"))
-        )
+    while (band.groupBy(*group).agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] or 0) > limit:
+        band = _slots_of_the_ranks(band, group)
     running = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = band.withColumn("upto", F.col("below") + F.sum("c").over(running)).withColumn(
         "start", F.col("upto") - F.col("c")
     )
     low = F.max(F.expr("case when start <= first and first < upto then v end"))
     high = F.max(F.expr("case when start <= last and last < upto then v end"))
-    return ranked.groupBy(*group).agg(
-        (low + (high - low) * F.max(F.col("rank") - F.col("first"))).alias("value")
+    share = F.max(F.col("rank") - F.col("first"))
+    found = ranked.groupBy(*group).agg(
+        F.when(share > 0, (F.lit(1.0) - share) * low + share * high).otherwise(low).alias("value"))
+    return asked.join(found, group, "left").select(*(["g.*"] if by else []), "column", "prob", "value")
+
+
+def _slots_of_the_ranks(band, group):
+    """Only the values of the slots, between approximate cuts, that hold a wanted rank."""
+    steps = F.array(*[F.lit(i / SLOTS) for i in range(1, SLOTS)])
+    cuts = materialize(
+        band.groupBy(*group).agg(F.percentile_approx("v", steps, F.lit(CUT_ACCURACY)).alias("cuts"))
+    )
+    slot = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
+    tagged = band.join(cuts, group).withColumn("slot", slot).drop("cuts")
+    running = Window.partitionBy(*group).orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    kept = materialize(
+        tagged.groupBy(*group, "first", "last", "below", "slot")
+        .agg(F.sum("c").alias("c"))
+        .withColumn("upto", F.col("below") + F.sum("c").over(running))
+        .withColumn("start", F.col("upto") - F.col("c"))
+        .where("upto > first and start <= last")
+        .groupBy(*group)
+        .agg(
+            F.min("slot").alias("from_slot"),
+            F.max("slot").alias("to_slot"),
+            F.min("start").alias("new_below"),
+        )
+    )
+    return materialize(
+        tagged.join(kept, group)
+        .where("slot between from_slot and to_slot")
+        .select(*group, "v", "c", "rank", "first", "last", F.col("new_below").alias("below"))
     )

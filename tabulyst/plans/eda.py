@@ -10,7 +10,7 @@ from ..operators.profile import (
 )
 from ..roles import LISTING, Roles
 from ..scratch import materialize
-from ..sources.csv import read_csv, training_rows
+from ..sources.csv import POSITION, read_csv, training_rows
 from ..sources.sinks import require_new_directory, row_dict, write_json, write_table
 
 
@@ -19,14 +19,14 @@ def profile(
 ) -> dict[str, DataFrame]:
     """Write and return the EDA tables of a CSV path or DataFrame."""
     require_new_directory(spark, output)
-    raw = materialize(read_csv(spark, data) if isinstance(data, str) else data)
+    raw = materialize(read_csv(spark, data, position=True) if isinstance(data, str) else data)
     frame, summary = training_rows(raw, roles, min_rows)
     numeric = materialize(
         frame.select(col(roles.label), *[as_number(frame, c).alias(c) for c in roles.numeric])
     )
     label = numeric.select(col(roles.label).alias("label"))
     tables = {
-        "missing_values": missing_profile(raw),
+        "missing_values": missing_profile(raw.drop(POSITION)),
         "numeric_summary": numeric_summary(numeric, roles.numeric),
         "numeric_correlations": pearson_matrix(numeric, roles.numeric),
         "category_counts": category_counts(frame, roles.categorical),

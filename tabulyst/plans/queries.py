@@ -10,7 +10,7 @@ from ..functions.hashing import row_hash
 from ..functions.text import clean_category, col, parse_money, parse_number
 from ..operators import linear
 from ..operators.encode import OneHotEncoder, TargetEncoder
-from ..operators.features import HouseFeatures, clean, complete_columns
+from ..operators.features import RoleFeatures, clean, complete_columns
 from ..operators.knn import PeerComparables
 from ..operators.metrics import (
     band_code, band_edges, band_metrics, cv_summary, metric_aggregates, metric_summary,
@@ -27,7 +27,7 @@ from ..operators.split import kfold, split_rows
 from ..roles import ORDER_LISTING as ROLES
 from ..scratch import materialize, scratch_root
 from ..sources.csv import drop_duplicates, invalid_id_counts, read_csv, training_rows
-from ..sources.sinks import table_fingerprint
+from ..sources.sinks import table_fingerprint, write_csv
 from ..config import TrainConfig
 from .eda import profile
 from .listing import listing, read
@@ -103,8 +103,8 @@ def clean_category_text(spark, directory):
 def csv_source(spark, directory):
     """Write the listing as CSV, read it back as checked text, and type it."""
     path = fresh(spark) + ".csv"
-    listing(spark, directory).write.csv(path, header=True)
-    frame, _ = training_rows(read_csv(spark, path), ROLES)
+    write_csv(listing(spark, directory), path)
+    frame, _ = training_rows(read_csv(spark, path, position=True), ROLES)
     return clean(frame, ROLES).select("id", "label", *ROLES.features)
 
 
@@ -147,7 +147,7 @@ def label_histogram(spark, directory):
 
 def impute_median(spark, directory):
     frame = staged(spark, directory)
-    features = HouseFeatures(ROLES, "original").fit(frame)
+    features = RoleFeatures(ROLES, "original").fit(frame)
     return features.transform(frame).drop("label")
 
 
@@ -158,13 +158,13 @@ def drop_incomplete(spark, directory):
 
 def derived_features(spark, directory):
     frame = staged(spark, directory)
-    features = HouseFeatures(ROLES, "engineered").fit(frame)
+    features = RoleFeatures(ROLES, "engineered").fit(frame)
     return features.transform(frame).select("id", "TotalSF", "TotalBath", "AgeAtSale")
 
 
 def group_relative(spark, directory):
     frame = staged(spark, directory)
-    features = HouseFeatures(ROLES, "extended").fit(frame)
+    features = RoleFeatures(ROLES, "extended").fit(frame)
     out = features.transform(frame).select("id", "SF_Rel_to_Nbhd", "Qual_SF_Interact")
     return rounded(out, 8, "SF_Rel_to_Nbhd")
 

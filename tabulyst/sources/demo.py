@@ -8,6 +8,7 @@ from ..functions.hashing import normal, uniform
 from ..functions.text import col
 from ..roles import LISTING
 from ..scratch import path_exists
+from .sinks import write_csv
 
 # Effects of the groups, value ranges, null shares.
 GROUP_EFFECTS = {"CollgCr": 10000.0, "OldTown": -15000.0, "NAmes": 0.0, "NridgHt": 25000.0}
@@ -25,7 +26,7 @@ NOISE, LEAST_PRICE = 12000.0, 15000.0
 
 def make_listings(spark: SparkSession, rows: int = 240, seed: int = 42) -> DataFrame:
     if rows < 1:
-        raise ValueError("rows must be positive")
+        raise ValueError("A listing has one row at least")
     number = F.col("_n")
 
     def u(name: str) -> Column:
@@ -72,6 +73,6 @@ def make_listings(spark: SparkSession, rows: int = 240, seed: int = 42) -> DataF
 
 def write_listings(spark: SparkSession, path: str, rows: int = 240, seed: int = 42) -> str:
     if path_exists(spark, path):
-        raise FileExistsError("Demo output already exists")
-    make_listings(spark, rows, seed).write.csv(path, header=True)
+        raise FileExistsError(f"{path} is there already")
+    write_csv(make_listings(spark, rows, seed), path)
     return path

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulyst.functions.hashing import hash_fold
 from tabulyst.operators.encode import OneHotEncoder, TargetEncoder
-from tabulyst.operators.features import HouseFeatures
+from tabulyst.operators.features import RoleFeatures
 from tabulyst.operators.knn import PeerComparables
 from tabulyst.roles import LISTING, ORDER_LISTING
 from tabulyst.sources.demo import make_listings
@@ -43,7 +43,7 @@ def test_onehot_of_a_new_category_is_zero(spark):
 
 
 def test_group_statistics_are_frozen(spark, demo):
-    features = HouseFeatures(LISTING, "extended").fit(demo)
+    features = RoleFeatures(LISTING, "extended").fit(demo)
     two = demo.limit(2).withColumn("Neighborhood", F.lit("NewNeighborhood"))
     before = {r["Id"]: r["SF_Rel_to_Nbhd"] for r in features.transform(two).collect()}
     first, second = sorted(before)
@@ -52,13 +52,13 @@ def test_group_statistics_are_frozen(spark, demo):
     )
     after = {r["Id"]: r["SF_Rel_to_Nbhd"] for r in features.transform(moved).collect()}
     assert after[first] == before[first] and after[second] != before[second]
-    again = HouseFeatures(LISTING, "extended").fit(demo.repartition(3))
+    again = RoleFeatures(LISTING, "extended").fit(demo.repartition(3))
     assert features.groups.mapping == again.groups.mapping
 
 
 def test_drop_policy(spark, demo):
     gone = demo.withColumn("LotFrontage", F.lit(None).cast("double"))
-    features = HouseFeatures(LISTING, "original", "drop").fit(gone)
+    features = RoleFeatures(LISTING, "original", "drop").fit(gone)
     assert "LotFrontage" not in features.transform(gone).columns
     assert not {"SalePrice", "Id"} & {*features.numeric_columns(), *features.categorical_columns()}
 

@@ -12,9 +12,9 @@ from tabulyst.plans.predict import predict, predict_frame
 from tabulyst.plans.report import report_tables
 from tabulyst.plans.train import load_artifact, train
 from tabulyst.roles import ORDER_LISTING
-from tabulyst.sources.csv import POSITION, drop_duplicates, read_csv, training_rows, with_position
+from tabulyst.sources.csv import POSITION, drop_duplicates, read_csv, training_rows
 from tabulyst.sources.demo import make_listings, write_listings
-from tabulyst.sources.sinks import read_json, table_fingerprint, write_json
+from tabulyst.sources.sinks import read_json, table_fingerprint, write_csv, write_json
 from tabulyst.streaming.score import score_stream
 
 CONFIG = TrainConfig(models=("ridge",), feature_sets=("engineered",), cv_folds=2)
@@ -25,9 +25,9 @@ def test_csv_source(spark, tmp_path):
     path.write_bytes('﻿ Id ,x\n007,NA\n008,""\n009,None\n010, 5\n'.encode())
     rows = read_csv(spark, str(path)).collect()
     assert [tuple(r) for r in rows] == [("007", None), ("008", None), ("009", None), ("010", " 5")]
-    placed = with_position(read_csv(spark, str(path))).orderBy(POSITION).collect()
+    placed = read_csv(spark, str(path), position=True).orderBy(POSITION).collect()
     assert [(r["Id"], r[POSITION]) for r in placed] == [("007", 0), ("008", 1), ("009", 2), ("010", 3)]
-    for text in ("a,a\n1,2\n", "a,\n1,2\n", "a,b\n"):
+    for text in ("a,a\n1,2\n", "a,A\n1,2\n", "a,\n1,2\n", "a,b\n", "a,b\n1,2,3\n", 'a,b\n"1,5",2,\n'):
         path.write_text(text)
         with pytest.raises(ValueError):
             read_csv(spark, str(path))
@@ -35,6 +35,27 @@ def test_csv_source(spark, tmp_path):
         read_csv(spark, str(tmp_path / "a.txt"))
 
 
+def test_csv_keeps_every_character(spark, tmp_path):
+    ids = [" 007", 'a"b', "c,d", "two\nlines", "e\\f", "  ", "007 "]
+    path = str(tmp_path / "out.csv")
+    write_csv(spark.createDataFrame([(x, str(i)) for i, x in enumerate(ids)], "Id string, n string").coalesce(1), path)
+    rows = read_csv(spark, path, position=True).orderBy(POSITION).collect()
+    assert [r["Id"] for r in rows] == ids and [r["n"] for r in rows] == [str(i) for i in range(len(ids))]
+
+
+def test_csv_folder_goes_by_file(spark, tmp_path):
+    folder = tmp_path / "parts.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n" + "".join(f"a{i},1\n" for i in range(3)))
+    (folder / "b.csv").write_text("x,y\n" + "".join(f"b{i}\n" for i in range(50)))
+    rows = read_csv(spark, str(folder), position=True).orderBy(POSITION).collect()
+    assert [r["x"] for r in rows] == [f"a{i}" for i in range(3)] + [f"b{i}" for i in range(50)]
+    assert [r[POSITION] for r in rows] == list(range(53)) and rows[-1]["y"] is None
+    (folder / "c.csv").write_text("y,x\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(folder)).collect()
+
+
 def test_duplicates_keep_the_first_position(spark):
     df = spark.createDataFrame([(1, None, 0), (1, None, 3), (2, "a", 1)], "a int, b string, p long")
     assert sorted(tuple(r) for r in drop_duplicates(df, "p").collect()) == [(1, None, 0), (2, "a", 1)]
@@ -56,6 +77,11 @@ def test_invalid_training_rows(spark):
     for df in bad:
         with pytest.raises(ValueError):
             training_rows(df)
+    with pytest.raises(ValueError):
+        training_rows(frame.drop("Id"))
+    text = frame.withColumn("LotArea", F.col("LotArea").cast("string"))
+    again = text.limit(5).withColumn("LotArea", F.concat("LotArea", F.lit(" ")))
+    assert training_rows(text.unionByName(again))[1]["duplicates_removed"] == 5
     rows, summary = training_rows(frame.unionByName(frame.limit(5)))
     assert summary == {"rows_loaded": 105, "duplicates_removed": 5, "usable_rows": 100}
 

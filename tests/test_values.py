@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabulyst.functions.text import clean_category, null_if_token, parse_money, parse_number
+from tabulyst.operators.metrics import metric_summary
 from tabulyst.operators.ordering import running_total, with_row_index
 from tabulyst.operators.quantile import column_quantiles, quantile_table
 from tabulyst.operators.split import kfold, split_rows
@@ -48,6 +49,30 @@ def test_exact_quantiles_on_both_paths(spark):
             assert row["value"] == pytest.approx(medians[row["g"]], rel=1e-12)
 
 
+def test_quantiles_and_metrics_alike_on_both_paths(spark):
+    """Null keys, groups without a value and columns without any give equal rows beyond the bound."""
+    rows = [(None if i % 5 == 0 else f"g{i % 5}", float(i % 37), None, 3.0) for i in range(900)]
+    rows += [("empty", None, None, 1.0)] * 3
+    df = spark.createDataFrame(rows, "g string, a double, b double, p double")
+    both = [
+        {(r["g"], r["column"], r["prob"]): r["value"] for r in quantile_table(df, ["a", "b"], [0.25, 0.5], ["g"], direct_values=n).collect()}
+        for n in (10**6, 600)
+    ]
+    assert both[0].keys() == both[1].keys() and len(both[0]) == 6 * 4
+    for key, value in both[0].items():
+        assert both[1][key] == (value if value is None else pytest.approx(value, rel=1e-12))
+    for n in (10**6, 600):
+        assert column_quantiles(df, ["b"], [0.5], direct_values=n) == {"b": {0.5: None}}
+        assert column_quantiles(df.limit(0), ["a"], [0.5], direct_values=n) == {"a": {0.5: None}}
+    known = df.where("a is not null").withColumn("a", F.col("a") + 1)
+    small, large = (
+        {r["g"]: tuple(r)[1:] for r in metric_summary(known, "a", "p", ["g"], direct_values=n).collect()} for n in (10**6, 100)
+    )
+    assert small.keys() == large.keys() == {None, "g1", "g2", "g3", "g4"}
+    for key in small:
+        assert large[key] == pytest.approx(small[key], rel=1e-12)
+
+
 def test_order_without_a_single_partition(spark):
     df = spark.range(1000).withColumn("v", (F.col("id") * 7919) % 1000).repartition(5)
     rows = with_row_index(df, [F.col("v")]).collect()
