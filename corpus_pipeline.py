@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulyst.llm import decontaminate, jaccard, language, packing, secrets
-from tabulyst.llm.frames import Stages
+from tabulyst.llm.frames import Stages, replaced
 
 LEAST_SHARE = 0.4
 
@@ -30,7 +30,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.mask(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return replaced(secrets.mask(docs), "n_chars", lambda column: F.length(column("text")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,14 @@ def pick(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return placed.select(*chosen)
 
 
+def replaced(df: DataFrame, name: str, make) -> DataFrame:
+    """df with its column `name` made anew by make(f), where f gives the column of a name; by place, as pick()."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    column = lambda x: F.col(f"c{df.columns.index(x)}")
+    kind = df.schema[df.columns.index(name)].dataType
+    return plain.withColumn(f"c{df.columns.index(name)}", make(column).cast(kind)).toDF(*df.columns)
+
+
 class Stages:
     """Written tables of one operator call, in the folder that the cluster shares."""
 

@@ -206,7 +206,7 @@ def _marked(page: Page) -> list[bool]:
         at = page.parent[at]
     content = [False] * n
     for i in range(body, n):
-        if inside[i] and density[i] >= threshold and density[i] > 0:
+        if i == best[body] or inside[i] and density[i] >= threshold and density[i] > 0:
             content[best[i]] = True
     for i in range(1, n):
         content[i] = (content[i] or content[page.parent[i]]) and not page.noise[i]
