@@ -4,9 +4,9 @@ The incidence matrix A has a row per distinct shingle set and a column per shing
 entry of A times its transpose. Two sets x, y with |x & y| / |x | y| >= t share at least
 a = ceil(t * (|x| + |y|) / (1 + t)) shingles, so in one common order of all columns their first common
 column lies among the first |x| - a + 1 of x and the first |y| - a + 1 of y. Only those leading entries
-of A are kept, columns with one row go, and a pair is formed only where both places satisfy the bound.
-The overlaps of the pairs that are left are counted block by block, with a pair dropped as soon as
-the rest can't reach a.
+of A are kept and columns with one row go. The product over these leading columns gives each pair its first
+overlap count; pairs for which that and all that lies behind can't reach a are dropped. The rest of the
+product is counted for the pairs that are left, block of columns by block, until the bound fails.
 
 Scale. Equal sets collapse to one row of A before anything is paired. Columns found often while
 the texts are read go to the end of the order, so that they lead no set that has anything rarer. Pairs are
@@ -194,7 +194,7 @@ def _count_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by the exact overlap of their whole sets."""
+    """The pairs (a, b) that link, by the exact overlap of their whole sets; both joins share one exchange of the sets."""
     joined = (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xs")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("ys")), "b")
@@ -214,7 +214,7 @@ def _pivot_pairs(entries: DataFrame, turn: int) -> DataFrame:
     own = entries.withColumn("class", _size_class(F.col("n")))
     pivots = own.groupBy("shingle", "class").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "place", "root")).alias("p"))
     reach = pivots.select("shingle", F.explode(F.array("class", F.col("class") + 1)).alias("class"), "p")
-    return _bounded(own.join(reach, ["shingle", "class"])).where("root <> p.root")
+    return own.join(reach, ["shingle", "class"]).where("root <> p.root")
 
 
 def _rest_pairs(entries: DataFrame, stages: Stages) -> DataFrame:
@@ -223,12 +223,38 @@ def _rest_pairs(entries: DataFrame, stages: Stages) -> DataFrame:
     main = counted.groupBy("shingle").agg(F.max(F.struct("m", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     live = stages.keep(entries.join(main.select("shingle", F.col("main.root").alias("main")), "shingle"), "live")
     outside = live.where("root <> main").select("shingle", F.struct("node", "n", "place", "root").alias("p"))
-    pairs = _bounded(live.join(outside, "shingle")).where("root <> p.root")
+    sizes = F.least("n", "p.n") * UNION_PART >= F.greatest("n", "p.n") * OVERLAP_PART
+    pairs = live.join(outside, "shingle").where("root <> p.root").where(sizes)
     return pairs.where((F.col("root") == F.col("main")) | (F.col("node") < F.col("p.node")))
 
 
 def _named(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+    """(a, n_a, b, n_b) of pairs of entries, a < b."""
+    ends = F.array_sort(F.array(F.struct("node", "n"), F.struct("p.node", "p.n")))
+    return pairs.select(ends.alias("e")).select(
+        F.col("e")[0]["node"].alias("a"), F.col("e")[0]["n"].alias("n_a"), F.col("e")[1]["node"].alias("b"), F.col("e")[1]["n"].alias("n_b"))
+
+
+def _plausible(counted: DataFrame) -> DataFrame:
+    """Pairs whose number `c` of common leading entries still allows a link.
+
+    In the set whose leading entries end first in the order, none but those c of them is in the other, so the
+    overlap is at most c plus what lies behind the leading entries.
+    """
+    behind = [F.ceil(F.col(x) * OVERLAP_PART / F.lit(UNION_PART) - F.lit(1e-9)) - 1 for x in ("n_a", "n_b")]
+    return counted.where(F.col("c") + F.greatest(*behind) >= _least_overlap(F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+
+def _pivot_candidates(entries: DataFrame, turn: int, stages: Stages) -> DataFrame:
+    pairs = stages.keep(_named(_bounded(_pivot_pairs(entries, turn))).distinct(), "pivots")
+    own = entries.select(F.col("node").alias("a"), "shingle")
+    other = entries.select(F.col("node").alias("b"), "shingle")
+    counted = pairs.join(own, "a").join(other, ["b", "shingle"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c"))
+    return _plausible(counted)
+
+
+def _rest_candidates(entries: DataFrame, stages: Stages) -> DataFrame:
+    return _plausible(_named(_rest_pairs(entries, stages)).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c")))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -246,11 +272,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = read.where("kind = 0").select("doc_id", "key", "node", "n")
 
     entries = _entries(plain, read, shingle, stages)
-    used = rows.where("n > 0").join(entries.select("node").distinct(), "node").groupBy("node").agg(F.min("key").alias("key"))
-    used = stages.keep(used, "used")
-    sets = plain.select("key", "text").mapInArrow(_whole(context.broadcast(key_map(used)), shingle), "node bigint, shingles array<bigint>")
-    sets = sets.join(used.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    return _answer(rows, _roots(entries, stages.keep(sets, "sets"), stages), stages)
+    roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
+    for turn in range(PIVOT_ROUNDS + 1):
+        pairs = _pivot_candidates(entries, turn, stages) if turn < PIVOT_ROUNDS else _rest_candidates(entries, stages)
+        pairs = stages.keep(pairs, "pairs")
+        if pairs.isEmpty():
+            continue
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = key_map(rows.where("n > 0").join(nodes, "node").groupBy("node").agg(F.min("key").alias("key")))
+        sets = plain.select("key", "text").mapInArrow(_whole(context.broadcast(wanted), shingle), "node bigint, shingles array<bigint>")
+        links = stages.keep(_links(pairs, sets.groupBy("node").agg(F.first("shingles").alias("shingles"))), "links")
+        if links.isEmpty():
+            continue
+        roots = components(links.union(roots.where("node <> root").toDF("a", "b")), stages)
+        entries = stages.keep(
+            entries.drop("root").join(roots, "node", "left").select("shingle", "node", "n", "place", F.coalesce("root", "node").alias("root")),
+            "entries")
+    return _answer(rows, roots, stages)
 
 
 def _entries(plain: DataFrame, read: DataFrame, shingle: int, stages: Stages) -> DataFrame:
@@ -268,23 +306,6 @@ def _entries(plain: DataFrame, read: DataFrame, shingle: int, stages: Stages) ->
     return stages.keep(live.select("shingle", "node", "n", "place", F.col("node").alias("root")), "entries")
 
 
-def _roots(entries: DataFrame, sets: DataFrame, stages: Stages) -> DataFrame:
-    """(node, root) of every node that has a link."""
-    found = entries.sparkSession.createDataFrame([], "a bigint, b bigint")
-    roots = found.toDF("node", "root")
-    for turn in range(PIVOT_ROUNDS + 1):
-        pairs = _pivot_pairs(entries, turn) if turn < PIVOT_ROUNDS else _rest_pairs(entries, stages)
-        links = stages.keep(_links(stages.keep(_named(pairs), "pairs"), sets), "links")
-        if links.isEmpty():
-            continue
-        found = links.union(roots.where("node <> root").toDF("a", "b"))
-        roots = components(found, stages)
-        entries = stages.keep(
-            entries.drop("root").join(roots, "node", "left").select("shingle", "node", "n", "place", F.coalesce("root", "node").alias("root")),
-            "entries")
-    return roots
-
-
 def _answer(rows: DataFrame, roots: DataFrame, stages: Stages) -> DataFrame:
     placed = stages.keep(
         rows.where("n > 0").join(roots, "node", "left").select("doc_id", "n", F.coalesce("root", "node").alias("root")), "placed")
