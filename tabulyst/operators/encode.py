@@ -7,6 +7,7 @@ over the rows outside each fold, so no row's own label enters its value.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder as OneHotVectors, StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lookup import MAP_KEYS, Lookup
@@ -16,7 +17,6 @@ from .quantile import column_medians
 
 SMOOTHING = 10.0
 ENCODED = "_encoded"
-WIDEST = 10_000
 
 
 def learned_medians(df: DataFrame, columns, rows=None) -> dict[str, float]:
@@ -88,6 +88,10 @@ class TargetEncoder:
     def columns(self) -> list[str]:
         return self.numeric + [c + ENCODED for c in self.categorical]
 
+    @property
+    def inputs(self) -> list[str]:
+        return self.columns
+
     def transform(self, df: DataFrame, train: bool = False) -> DataFrame:
         out = df
         if self.medians:
@@ -106,35 +110,48 @@ class TargetEncoder:
 
 
 class OneHotEncoder:
-    """0/1 columns for every training category; a new category gets zeros everywhere."""
+    """Sparse 0/1 vectors of the training categories; a new category gets zeros everywhere.
+
+    Output columns are named by place, so category texts never become column names; `columns` names
+    the slots of the assembled design.
+    """
 
     def fit(self, df, numeric, categorical, label=None, fold=None, rows=None, nullable=None):
         self.numeric, self.categorical = list(numeric), list(categorical)
         self.medians = learned_medians(df, numeric if nullable is None else nullable, rows)
         self.vocabulary: dict[str, list[str]] = {c: [] for c in self.categorical}
         if self.categorical:
-            # The dense matrix below has one column per entry, so the vocabulary must be small anyway.
-            seen = (
-                df.select(*map(col, self.categorical))
-                .unpivot([], list(map(col, self.categorical)), "column", "key")
-                .distinct()
+            texts = df.select(*[col(c).cast("string").alias(n) for c, n in zip(self.categorical, self._names("_text"))])
+            indexer = StringIndexer(
+                inputCols=self._names("_text"), outputCols=self._names("_index"), stringOrderType="alphabetAsc",
+                handleInvalid="skip",
             )
-            entries = seen.orderBy("column", "key").limit(WIDEST + 1).collect()
-            if len(entries) > WIDEST:
-                raise ValueError(f"More than {WIDEST} categories: use target encoding")
-            for row in entries:
-                self.vocabulary[row["column"]].append(row["key"])
+            self.vocabulary = dict(zip(self.categorical, map(list, indexer.fit(texts).labelsArray)))
         return self
 
+    def _names(self, stem: str) -> list[str]:
+        return [f"{stem}{i}" for i in range(len(self.categorical))]
+
     @property
     def columns(self) -> list[str]:
         return self.numeric + [f"{c}_{k}" for c in self.categorical for k in self.vocabulary[c]]
 
+    @property
+    def inputs(self) -> list[str]:
+        """Columns of the transformed frame, numeric ones first, in the order of the slots."""
+        known = [n for n, c in zip(self._names("_onehot"), self.categorical) if self.vocabulary[c]]
+        return self.numeric + known
+
     def transform(self, df: DataFrame, train: bool = False) -> DataFrame:
         filled = {c: F.coalesce(finite(col(c)), F.lit(float(m))) for c, m in self.medians.items()}
-        flags = {
-            f"{c}_{k}": F.when(col(c) == k, 1.0).otherwise(0.0)
-            for c in self.categorical
-            for k in self.vocabulary[c]
-        }
-        return df.withColumns(filled | flags).drop(*self.categorical)
+        texts = {n: col(c).cast("string") for c, n in zip(self.categorical, self._names("_text"))}
+        out = df.withColumns(filled | texts) if filled or texts else df
+        known = [i for i, c in enumerate(self.categorical) if self.vocabulary[c]]
+        if known:
+            text, index, vector = ([f"{stem}{i}" for i in known] for stem in ("_text", "_index", "_onehot"))
+            indexed = out
+            for c, i, o in zip([self.categorical[i] for i in known], text, index):
+                indexed = StringIndexerModel.from_labels(self.vocabulary[c], i, o, handleInvalid="keep").transform(indexed)
+            # Sizes come from the index columns' metadata; the slot of unknown categories is the dropped last one.
+            out = OneHotVectors(inputCols=index, outputCols=vector, dropLast=True).fit(indexed).transform(indexed)
+        return out.drop(*self.categorical, *self._names("_text"), *self._names("_index"))

@@ -12,16 +12,16 @@ BOOSTED = {
     "gbt_deep": {"maxDepth": 6},
 }
 LEARNING_RATE = 0.05
-BINS = 64
+BINS = 255  # cut points per column; an option of both functions
 
 
-def forest(seed: int, trees: int, min_leaf: int = 2, depth: int = MAX_DEPTH) -> RandomForestRegressor:
+def forest(seed: int, trees: int, min_leaf: int = 2, depth: int = MAX_DEPTH, bins: int = BINS) -> RandomForestRegressor:
     return RandomForestRegressor(
         numTrees=trees, minInstancesPerNode=min_leaf, featureSubsetStrategy="all", maxDepth=depth,
-        maxBins=BINS, seed=seed,
+        maxBins=bins, seed=seed,
     )
 
 
-def boosted(family: str, seed: int, trees: int, **options) -> GBTRegressor:
+def boosted(family: str, seed: int, trees: int, bins: int = BINS, **options) -> GBTRegressor:
     settings = {"stepSize": LEARNING_RATE, **BOOSTED[family], **options}
-    return GBTRegressor(maxIter=trees, seed=seed, maxBins=BINS, **settings)
+    return GBTRegressor(maxIter=trees, seed=seed, maxBins=bins, **settings)

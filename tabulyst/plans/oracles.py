@@ -27,6 +27,12 @@ listing AS (
   JOIN nation n ON n.n_nationkey = c.c_nationkey
   LEFT JOIN li ON li.l_orderkey = o.o_orderkey)"""
 
+# The categories of the given tables.
+CATEGORIES = {
+    "grp": tuple(f"NATION_{i}" for i in range(25)),
+    "segment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+    "status": ("F", "O", "P"),
+}
 NUMERIC, CATEGORICAL = ROLES.numeric, ROLES.categorical
 COLUMNS = ["id", "label", *NUMERIC, *CATEGORICAL]
 
@@ -149,8 +155,15 @@ SPACE_SQL = " || ".join(f"chr({ord(c)})" for c in SPACES)
 CLEAN_TEXT = f"coalesce(nullif(trim(text, {SPACE_SQL}), ''), 'Missing')"
 N_SPLIT = "(SELECT COUNT(*) FROM listing)"
 
+SPEARMAN_RANKS = """r AS (SELECT feature,
+    rank() OVER (PARTITION BY feature ORDER BY x) + (COUNT(*) OVER (PARTITION BY feature, x) - 1) / 2.0 AS rx,
+    rank() OVER (PARTITION BY feature ORDER BY label) + (COUNT(*) OVER (PARTITION BY feature, label) - 1) / 2.0 AS ry
+  FROM long)"""
+SPEARMAN = "SELECT feature, COUNT(*) AS rows, round(corr(rx, ry), 8) AS spearman FROM r GROUP BY feature"
+
 ORACLES = {
     "dedup_rows": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem",
+    "dedup_first": "SELECT l_linenumber, l_returnflag, l_linestatus, min(l_orderkey) AS position FROM lineitem GROUP BY ALL",
     "validate_ids": """SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE l_orderkey IS NULL) AS missing_ids,
   COUNT(*) FILTER (WHERE trim(CAST(l_orderkey AS VARCHAR)) = '') AS blank_ids,
   COUNT(l_orderkey) - COUNT(DISTINCT l_orderkey) AS repeated_ids FROM lineitem""",
@@ -173,13 +186,7 @@ ORACLES = {
     "pearson_matrix": over_listing(select="\nUNION ALL\n".join(
         f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, round(corr({a}, {b}), 8) AS pearson FROM listing"
         for a in NUMERIC for b in NUMERIC)),
-    "spearman_target": over_listing(
-        LONG,
-        """r AS (SELECT feature,
-    rank() OVER (PARTITION BY feature ORDER BY x) + (COUNT(*) OVER (PARTITION BY feature, x) - 1) / 2.0 AS rx,
-    rank() OVER (PARTITION BY feature ORDER BY label) + (COUNT(*) OVER (PARTITION BY feature, label) - 1) / 2.0 AS ry
-  FROM long)""",
-        select="SELECT feature, COUNT(*) AS rows, round(corr(rx, ry), 8) AS spearman FROM r GROUP BY feature"),
+    "spearman_target": over_listing(LONG, SPEARMAN_RANKS, select=SPEARMAN),
     "category_counts": over_listing(select=each(
         "SELECT '{c}' AS feature, coalesce({c}, 'Missing') AS category, COUNT(*) AS rows FROM listing GROUP BY 2",
         CATEGORICAL)),
@@ -226,10 +233,7 @@ ORACLES = {
             f"JOIN cross_{c} ON cross_{c}.fold = f.fold AND cross_{c}.{c} = f.{c}" for c in CATEGORICAL)),
     "onehot_encode": over_listing(select="SELECT id, " + ", ".join(
         f"CASE WHEN {c} = '{k}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"{c}_{k}\""
-        for c, ks in {
-            "segment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
-            "status": ("F", "O", "P"),
-        }.items() for k in ks) + " FROM listing"),
+        for c, ks in CATEGORIES.items() for k in ks) + " FROM listing"),
     "crossfit_metrics": over_listing(
         FOLDED, PRIORS, crossed("grp"),
         select="SELECT f.fold, " + metric_columns("f.label", "x.v")
@@ -279,4 +283,13 @@ ORACLES = {
         LONG, GAINS,
         select="SELECT feature, len(list_filter(nulls[1:5], lambda u: u < actual)) AS passes, "
         "len(list_filter(nulls[1:5], lambda u: u < actual)) >= 4 AS selected FROM gains"),
+    "eda_job": over_listing(LONG, SPEARMAN_RANKS, select=SPEARMAN),
+    "table_fingerprint": over_listing(
+        "h AS (SELECT CAST('0x' || substr(md5(concat_ws(chr(31), " + ", ".join(
+            f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in COLUMNS) + ")), 1, 15) AS BIGINT) AS h FROM listing)",
+        select="SELECT COUNT(*) AS rows, bit_xor(h) AS xor_hash, CAST(sum(h) AS VARCHAR) AS sum_hash FROM h"),
+} | {
+    f"{name}_fit": over_listing(select="SELECT id, TRUE AS priced, TRUE AS closer FROM listing")
+    for name in ("ridge", "onehot_ols", "lasso", "elasticnet", "ridge_extended", "forest", "gbt_shallow", "gbt_mid",
+                 "gbt_deep", "voting", "weighted", "stacking")
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import row_hash
@@ -16,7 +17,7 @@ from ..operators.metrics import (
     band_code, band_edges, band_metrics, cv_summary, metric_aggregates, metric_summary,
     smearing_factor,
 )
-from ..operators.models import PriceModel
+from ..operators.models import BLEND, PriceModel
 from ..operators.ordering import with_row_index
 from ..operators.profile import (
     category_counts, histogram, missing_profile, numeric_summary, pearson_matrix, spearman_target,
@@ -33,7 +34,7 @@ from .eda import profile
 from .listing import listing, read
 from .predict import predict
 from .report import report_tables
-from .train import pick_winner, rank_candidates, train
+from .train import cross_validate, pick_winner, rank_candidates, train
 
 SEED = 42
 FOLDS = 5
@@ -66,6 +67,12 @@ def dedup_rows(spark, directory):
     return drop_duplicates(lines.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
 
 
+def dedup_first(spark, directory):
+    lines = read(spark, directory, "lineitem")
+    kept = lines.select("l_linenumber", "l_returnflag", "l_linestatus", F.col("l_orderkey").alias("position"))
+    return drop_duplicates(kept, "position")
+
+
 def validate_ids(spark, directory):
     return invalid_id_counts(read(spark, directory, "lineitem"), "l_orderkey")
 
@@ -204,9 +211,14 @@ def target_encode_crossfit(spark, directory):
 
 
 def onehot_encode(spark, directory):
-    frame = staged(spark, directory).select("id", "segment", "status")
-    encoder = OneHotEncoder().fit(frame, [], ["segment", "status"])
-    return encoder.transform(frame)
+    """Slots of the sparse vectors of all categories, one column each for the comparison."""
+    frame = staged(spark, directory).select("id", *ROLES.categorical)
+    encoder = OneHotEncoder().fit(frame, [], ROLES.categorical)
+    slots = []
+    for vector, c in zip(encoder.inputs, encoder.categorical):
+        values = vector_to_array(vector)
+        slots += [F.get(values, i).alias(f"{c}_{k}") for i, k in enumerate(encoder.vocabulary[c])]
+    return encoder.transform(frame).select("id", *slots)
 
 
 def crossfit_metrics(spark, directory):
@@ -280,8 +292,10 @@ def fold_table(spark, directory) -> DataFrame:
 
 
 def median_baseline_cv(spark, directory):
-    table = fold_table(spark, directory).where("candidate = 'median_baseline'")
-    return rounded(table.select("fold", "metric", "value"), 6, "value")
+    """The job's own cross-validation of its median model."""
+    scores = cross_validate(PriceModel(ROLES, "dummy", "original", "raw"), with_folds(spark, directory), FOLDS)
+    rows = [(f, m, float(s[m])) for f, s in enumerate(scores) for m in ("mae", "rmse", "r2")]
+    return rounded(spark.createDataFrame(rows, "fold int, metric string, value double"), 6, "value")
 
 
 def cv_table(spark, directory):
@@ -318,8 +332,7 @@ def weighted_vote(spark, directory):
     second = F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("acctbal")
     out = first.select(
         "id",
-        (F.col("p1") * 0.5 + second * 0.5).alias("voting"),
-        (F.col("p1") * 0.3 + second * 0.7).alias("weighted"),
+        *[(F.col("p1") * BLEND[n][0] + second * BLEND[n][1]).alias(n) for n in ("voting", "weighted")],
     )
     return rounded(out, 8, "voting", "weighted")
 
@@ -383,23 +396,32 @@ def stability_count(spark, directory):
 
 
 def fitted_prices(family: str, **options):
+    """Fit and price every row with the family's own defaults: (id, priced, closer).
+
+    `priced`: the prediction is finite and not negative. `closer`: on the target's scale the whole fit's
+    squared error is below that of the best constant.
+    """
+
     def query(spark, directory):
         frame = staged(spark, directory)
-        model = PriceModel(
-            ROLES, family, n_estimators=4, cv_folds=2, selection_iterations=2, selection_trees=2,
-            **options,
-        ).fit(frame)
-        return model.predict(frame).select("id", "prediction")
+        model = PriceModel(ROLES, family, **options).fit(frame)
+        scored = materialize(model.predict(frame).select("id", "label", "prediction"))
+        scale = F.log1p if model.target_transform == "log" else col
+        found = scored.agg(
+            F.avg(F.pow(scale("label") - scale("prediction"), 2)).alias("error"), F.var_pop(scale("label")).alias("constant")
+        ).first()
+        price = F.col("prediction")
+        return scored.select(
+            "id", F.coalesce((price >= 0) & (price < float("inf")), F.lit(False)).alias("priced"),
+            F.lit(found["error"] < found["constant"]).alias("closer"),
+        )
 
     return query
 
 
-def selected_by(method: str):
+def selected_by(method: str, **options):
     def query(spark, directory):
-        frame = staged(spark, directory)
-        model = PriceModel(
-            ROLES, "ridge", cv_folds=2, selection=method, selection_iterations=2, selection_trees=2
-        ).fit(frame)
+        model = PriceModel(ROLES, "ridge", selection=method, **options).fit(staged(spark, directory))
         return model.feature_records(spark)
 
     return query
@@ -424,11 +446,12 @@ def predict_job(spark, directory):
 
 def eda_job(spark, directory):
     tables = profile(spark, listing(spark, directory), fresh(spark), ROLES)
-    return tables["target_associations"]
+    return rounded(tables["target_associations"], 8, "spearman").drop("p_value")
 
 
 QUERIES = {
     "dedup_rows": dedup_rows,
+    "dedup_first": dedup_first,
     "validate_ids": validate_ids,
     "parse_money": parse_money_text,
     "clean_numeric": clean_numeric,
@@ -472,7 +495,7 @@ QUERIES = {
     "lasso_fit": fitted_prices("lasso"),
     "elasticnet_fit": fitted_prices("elasticnet"),
     "ridge_extended_fit": fitted_prices("ridge", feature_set="extended"),
-    "forest_fit": fitted_prices("random_forest", params={"depth": 6}),
+    "forest_fit": fitted_prices("random_forest"),
     "gbt_shallow_fit": fitted_prices("gbt_shallow"),
     "gbt_mid_fit": fitted_prices("gbt_mid"),
     "gbt_deep_fit": fitted_prices("gbt_deep"),
@@ -481,6 +504,7 @@ QUERIES = {
     "stacking_fit": fitted_prices("stacking"),
     "boruta_select": selected_by("boruta"),
     "null_select": selected_by("null95"),
+    "stable_null_select": selected_by("stable_null"),
     "eda_job": eda_job,
     "train_job": train_job,
     "predict_job": predict_job,

@@ -37,19 +37,22 @@ PEER_PRICE = "Peer_Comp_Price"
 LISTING = Roles(
     id="Id",
     label="SalePrice",
-    numeric=tuple(
-        """MSSubClass LotFrontage LotArea OverallQual OverallCond YearBuilt YearRemodAdd MasVnrArea
-        BsmtFinSF1 BsmtFinSF2 BsmtUnfSF TotalBsmtSF 1stFlrSF 2ndFlrSF LowQualFinSF GrLivArea
-        BsmtFullBath BsmtHalfBath FullBath HalfBath BedroomAbvGr KitchenAbvGr TotRmsAbvGrd Fireplaces
-        GarageYrBlt GarageCars GarageArea WoodDeckSF OpenPorchSF EnclosedPorch 3SsnPorch ScreenPorch
-        PoolArea MiscVal MoSold YrSold""".split()
+    numeric=(
+        "MSSubClass", "LotFrontage", "LotArea", "OverallQual", "OverallCond", "YearBuilt",
+        "YearRemodAdd", "MasVnrArea", "BsmtFinSF1", "BsmtFinSF2", "BsmtUnfSF", "TotalBsmtSF",
+        "1stFlrSF", "2ndFlrSF", "LowQualFinSF", "GrLivArea", "BsmtFullBath", "BsmtHalfBath", "FullBath",
+        "HalfBath", "BedroomAbvGr", "KitchenAbvGr", "TotRmsAbvGrd", "Fireplaces", "GarageYrBlt",
+        "GarageCars", "GarageArea", "WoodDeckSF", "OpenPorchSF", "EnclosedPorch", "3SsnPorch",
+        "ScreenPorch", "PoolArea", "MiscVal", "MoSold", "YrSold",
     ),
-    categorical=tuple(
-        """MSZoning Street Alley LotShape LandContour Utilities LotConfig LandSlope Neighborhood
-        Condition1 Condition2 BldgType HouseStyle RoofStyle RoofMatl Exterior1st Exterior2nd MasVnrType
-        ExterQual ExterCond Foundation BsmtQual BsmtCond BsmtExposure BsmtFinType1 BsmtFinType2 Heating
-        HeatingQC CentralAir Electrical KitchenQual Functional FireplaceQu GarageType GarageFinish
-        GarageQual GarageCond PavedDrive PoolQC Fence MiscFeature SaleType SaleCondition""".split()
+    categorical=(
+        "MSZoning", "Street", "Alley", "LotShape", "LandContour", "Utilities", "LotConfig", "LandSlope",
+        "Neighborhood", "Condition1", "Condition2", "BldgType", "HouseStyle", "RoofStyle", "RoofMatl",
+        "Exterior1st", "Exterior2nd", "MasVnrType", "ExterQual", "ExterCond", "Foundation", "BsmtQual",
+        "BsmtCond", "BsmtExposure", "BsmtFinType1", "BsmtFinType2", "Heating", "HeatingQC",
+        "CentralAir", "Electrical", "KitchenQual", "Functional", "FireplaceQu", "GarageType",
+        "GarageFinish", "GarageQual", "GarageCond", "PavedDrive", "PoolQC", "Fence", "MiscFeature",
+        "SaleType", "SaleCondition",
     ),
     group="Neighborhood",
     size_parts=("TotalBsmtSF", "1stFlrSF", "2ndFlrSF"),

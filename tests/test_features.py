@@ -39,7 +39,12 @@ def test_onehot_of_a_new_category_is_zero(spark):
     encoder = OneHotEncoder().fit(df, [], ["c"])
     assert encoder.columns == ["c_a", "c_b"]
     new = spark.createDataFrame([("3", "z")], "id string, c string")
-    assert list(encoder.transform(new).first()) == ["3", 0.0, 0.0]
+    assert encoder.transform(new).first()["_onehot0"].toArray().tolist() == [0.0, 0.0]
+    cases = spark.createDataFrame([("1", "Gd"), ("2", "GD"), ("3", None), ("4", "a.b")], "id string, `c.d` string")
+    encoder = OneHotEncoder().fit(cases, [], ["c.d"])
+    assert encoder.columns == ["c.d_GD", "c.d_Gd", "c.d_a.b"] and encoder.inputs == ["_onehot0"]
+    found = {r["id"]: r["_onehot0"].toArray().tolist() for r in encoder.transform(cases).collect()}
+    assert found == {"1": [0, 1, 0], "2": [1, 0, 0], "3": [0, 0, 0], "4": [0, 0, 1]}
 
 
 def test_group_statistics_are_frozen(spark, demo):
