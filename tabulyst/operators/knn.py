@@ -3,11 +3,12 @@
 Distance: standardised size, quality and age plus a one-hot group, so two known groups are 2 apart
 in squared distance and a group without training rows is 1 apart from every row.
 
-No step forms all pairs. Equal points collapse to one point with its k first ids. Points are sorted
-along a bit-interleaved curve and cut into cells of a fixed number of points, whatever the density;
-cells carry their bounds, and 32 cells share a node of the next level. A query first measures the
-cell at its own place on the curve, which bounds its k-th distance; query cells then descend the
-bounds and keep a cell only if it can still hold a nearer row. The bounds use the same monotone
+Equal points collapse to one point with its k first ids. Points are sorted along a bit-interleaved
+curve and cut into cells of a fixed number of points, whatever the density; cells carry their bounds,
+and 32 cells share a node of the next level. A query first measures the cell at its own place on the
+curve, which bounds its k-th distance; query cells then descend the bounds. At every level the far
+corners of the nearest nodes that hold k rows tighten the reach, and a node stays only if it can still
+hold a nearer row, so an outlying query keeps few cells too. The bounds use the same monotone
 floating-point steps as the distance, so nothing that belongs to the answer is left out.
 
 Rows are first searched inside their group. Only a query whose k-th distance reaches the gap between
@@ -139,13 +140,13 @@ class CellTree:
             F.max("reach").alias("reach"),
         )
         # The top level has at most ROOT_NODES rows per model.
-        front = self._near(cells.join(F.broadcast(self.levels[-1]), "model"))
+        front = self._near(cells.join(F.broadcast(self.levels[-1]), "model"), QUERY_CELL)
         for level in self.levels[-2::-1]:
             kept = front.select(*QUERY_CELL, *QUERY_BOX, "reach", F.col("node").alias("up"))
-            front = self._near(kept.join(level.drop("zone"), ["model", "up"]))
+            front = self._near(kept.join(level.drop("zone"), ["model", "up"]), QUERY_CELL)
             front = front.withColumnRenamed("cell", "node") if level is self.levels[0] else front
-        leaves = front.select(*QUERY_CELL, F.col("node").alias("cell"), *BOX)
-        near = self._near(asked.join(leaves, list(QUERY_CELL)), zoned=True)
+        leaves = front.select(*QUERY_CELL, F.col("node").alias("cell"), "n", "start", "end", *BOX)
+        near = self._near(asked.join(leaves, list(QUERY_CELL)), (*QUERY, "known", "zone"))
         first = Window.partitionBy(*QUERY).orderBy("d2", "id")
         return (
             self._measured(near.select(*QUERY, "known", "reach", "zone", "cell"))
@@ -184,23 +185,30 @@ class CellTree:
 
     def _measured(self, asked: DataFrame) -> DataFrame:
         """Join query points with the points of a cell: at most 2^cell_bits rows per match."""
-        # A query row meets many points, so its bytes say little about its work: keep all tasks.
-        # The ranking by query that follows needs this partitioning as well.
+        # A query row meets many points, so its bytes say little about its work: keep all tasks. Cells
+        # of one query go to different ones.
         tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = asked.repartition(tasks, *QUERY)
+        spread = asked.repartition(tasks, *QUERY, "cell")
         pairs = spread.join(self.points.drop("curve"), ["model", "zone", "cell"])
         gap = [F.col(a) - F.col(f"q_{a}_min") for a in AXES]
         return pairs.withColumn("d2", self.axes.squared(gap))
 
-    def _near(self, front: DataFrame, zoned: bool = False) -> DataFrame:
-        gap = []
+    def _near(self, front: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        """Nodes that can hold a row within the reach, which the nodes of each key tighten first."""
+        gap, widest = [], []
         for a in AXES:
             p_min, p_max, q_min, q_max = map(F.col, (f"{a}_min", f"{a}_max", f"q_{a}_min", f"q_{a}_max"))
             gap.append(F.greatest(F.lit(0.0), p_min - q_max, q_min - p_max))
-        near = self.axes.squared(gap) <= F.col("reach")
-        if not zoned:
-            near = near & F.col("zone").between(F.col("start.zone"), F.col("end.zone"))
-        return front.where(near)
+            widest.append(F.greatest(p_max - q_min, q_max - p_min))
+        within = front.where(F.col("zone").between(F.col("start.zone"), F.col("end.zone")))
+        within = within.withColumns({"_close": self.axes.squared(gap), "_far": self.axes.squared(widest)})
+        within = within.where(F.col("_close") <= F.col("reach"))
+        # Rows of a node that lies in the zone as a whole are all no farther than its far corner.
+        own = F.when((F.col("start.zone") == F.col("zone")) & (F.col("end.zone") == F.col("zone")), F.col("n"))
+        held = F.sum(own).over(Window.partitionBy(*keys).orderBy("_far"))
+        sure = F.min(F.when(F.col("_held") >= self.k, F.col("_far"))).over(Window.partitionBy(*keys))
+        tight = within.withColumn("_held", held).withColumn("reach", F.least("reach", sure))
+        return tight.where(F.col("_close") <= F.col("reach")).drop("_close", "_far", "_held")
 
 
 class PeerComparables:
