@@ -20,7 +20,7 @@ from tabulyst.llm.frames import Stages, in_map, key_map, pick
 from tabulyst.llm.textbytes import ALNUM, chunks, run_hashes, split_words, utf8
 
 SENTENCES, WORDS = 2, 20
-#: Sentences of more words are split at commas, colons and semicolons too.
+#: Sentences of more words are split further.
 LONG = 40
 
 
@@ -34,7 +34,8 @@ def sentence_bounds(data: np.ndarray, words) -> np.ndarray:
     """First word of every sentence that has a word, in order, and the number of words as last entry.
 
     A sentence ends at a line end, after . ! or ? before white space, after a CJK full stop, question
-    or exclamation mark, and with its text.
+    or exclamation mark, and with its text. One of more than LONG words also ends at commas, colons and
+    semicolons, and what is still longer before words whose hash says so: alike wherever its text lies.
     """
     n = len(words.starts)
     if not n:
@@ -51,9 +52,12 @@ def sentence_bounds(data: np.ndarray, words) -> np.ndarray:
         out[1:] = passed[1:] != passed[:-1]
     heads = words.rows[:-1]
     new[heads[heads < n]] = True
-    first = np.flatnonzero(new)
-    lengths = np.diff(np.append(first, n))
-    return np.append(np.flatnonzero(new | finer & np.repeat(lengths > LONG, lengths)), n)
+    cut = words.hashes & np.uint64(7) == 0
+    for more in (finer, cut):
+        first = np.flatnonzero(new)
+        lengths = np.diff(np.append(first, n))
+        new |= more & np.repeat(lengths > LONG, lengths)
+    return np.append(np.flatnonzero(new), n)
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, sentences: int, least: int):

@@ -1,5 +1,6 @@
 """Decontamination and span deduplication against brute force."""
 
+import random
 import re
 
 from tabulyst.llm import decontaminate as leaks
@@ -94,3 +95,13 @@ def test_passages_of_fifty_words_are_caught(spark):
     found = {r["doc_id"]: r for r in spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert "word2" in found[0]["text"] and found[0]["n_removed"] == 0
     assert all("word2" not in found[i]["text"] and f"number {i}" in found[i]["text"] and f"Own end {i}" in found[i]["text"] for i in range(1, 5))
+
+
+def test_passages_without_marks_are_caught(spark):
+    draw = random.Random(9)
+    passage = " ".join(f"w{draw.randrange(10**6)}" for _ in range(90))
+    rows = [(i, f"start{i} of number {i} {passage} end{i} of it") for i in range(4)]
+    found = {r["doc_id"]: r for r in spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    left = [sum(w in passage for w in words_of(found[i]["text"])) for i in range(4)]
+    assert found[0]["n_removed"] == 0 and max(left[1:]) < 45
+    assert all(f"start{i}" in found[i]["text"] and f"end{i}" in found[i]["text"] for i in range(4))
