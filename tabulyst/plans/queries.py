@@ -503,8 +503,6 @@ QUERIES = {
     "weighted_fit": fitted_prices("weighted"),
     "stacking_fit": fitted_prices("stacking"),
     "boruta_select": selected_by("boruta"),
-    "null_select": selected_by("null95"),
-    "stable_null_select": selected_by("stable_null"),
     "eda_job": eda_job,
     "train_job": train_job,
     "predict_job": predict_job,

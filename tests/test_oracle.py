@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 from compare import connect, difference
 
 DIRECTORY = "/root/testdata/sf0.001"
+#: Fits of hundreds of trees take minutes each; `python tests/compare.py DIR NAME` compares them.
+LONG_FITS = {"forest_fit", "gbt_mid_fit", "gbt_deep_fit", "voting_fit", "weighted_fit", "stacking_fit"}
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +15,7 @@ def database():
     return connect(DIRECTORY)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - LONG_FITS))
 def test_query_matches_sql(spark, database, name):
     assert difference(spark, database, entry.queries()[name], entry.oracle_sql()[name], DIRECTORY) is None
 
