@@ -50,14 +50,6 @@ class Stages:
         system.deleteOnExit(place)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *frames: DataFrame) -> None:
-        """Delete written tables that nothing reads any more."""
-        for df in frames:
-            for path in {file.rpartition("/")[0] for file in df.inputFiles()}:
-                if path.startswith(("file:", "hdfs:", "s3", "/")) and "/llm-" in path:
-                    system, place = hadoop_path(self.spark, path)
-                    system.delete(place, True)
-
 
 def id_key(column: str):
     """64-bit key of an id of any type; null has a key too."""

@@ -125,16 +125,15 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str
     )
 
 
-def _masked(text: str, spans: str) -> Column:
-    """Text with every run of overlapping spans replaced by the mask."""
-    merged = F.aggregate(
+def _merged(spans: str) -> Column:
+    """Spans in order as (start, end), those that touch or overlap as one."""
+    return F.aggregate(
         spans, F.expr("CAST(array() AS array<struct<start: bigint, end: bigint>>)"),
         lambda done, x: F.when(
             (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= x["start"]),
             F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
                 F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end")))),
         ).otherwise(F.concat(done, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))))
-    return merged
 
 
 def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str = "source", owner: str = "source", owners: int = OWNERS) -> DataFrame:
@@ -144,7 +143,7 @@ def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str
     at, of = f"c{names.index(text)}", f"c{names.index(doc_id)}"
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumns({"doc_id": F.col(of), "version": F.xxhash64(at)})
     columns = [f"c{i}" for i in range(len(names))]
-    rows = _with_spans(plain, spans, *columns, F.col("s")).withColumn("s", F.when(F.size("s") > 0, _masked(at, "s")))
+    rows = _with_spans(plain, spans, *columns, F.col("s")).withColumn("s", F.when(F.size("s") > 0, _merged("s")))
     cut = F.concat(
         F.array_join(F.transform("s", lambda x, i: F.concat(
             F.substring(F.col(at), F.when(i > 0, F.element_at("s", i)["end"]).otherwise(0).cast("int") + 1, (x["start"] - F.when(i > 0, F.element_at("s", i)["end"]).otherwise(0)).cast("int")),
