@@ -173,12 +173,11 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndar
     letters, capitals = _LETTER[data], _UPPER[data]
     capital_sums = np.concatenate(([0], np.cumsum(capitals)))
     all_capital = (words.ends - words.starts > 1) & (capital_sums[words.ends] - capital_sums[words.starts] == words.ends - words.starts)
-    # Tokens with a sign or digit between letters, read without it.
+    # Tokens with a sign or digit before a letter, read as the letters they stand for.
     tokens = split_words(data, offsets, NONSPACE)
     inner = _SIGN[data].copy()
-    inner[1:] &= letters[:-1]
     inner[:-1] &= letters[1:]
-    inner[[0, -1] if len(inner) else []] = False
+    inner[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = False
     signs = np.concatenate(([0], np.cumsum(inner)))
     disguised = signs[tokens.ends] > signs[tokens.starts]
     undone = np.zeros(len(n))
