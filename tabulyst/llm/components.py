@@ -34,10 +34,11 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
         hung = _with_least(large, stages)
         small = hung.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(hung.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         small = stages.keep(small, "small")
-        # A star forest: no node both hangs on another and carries one.
-        deep = small.select("u").intersect(small.select(F.col("v").alias("u"))).limit(1).count()
-        many = small.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-        if not deep and not many:
+        # A star forest: every node hangs on one node at most, and none that hangs carries another.
+        ends = small.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("carries")).union(
+            small.select("v", F.lit(0), F.lit(1)))
+        ties = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("carries").alias("carries"))
+        if ties.where(F.col("hangs") + F.col("carries") > 1).isEmpty():
             break
         edges = small
     return stages.keep(small.select(F.col("u").alias("node"), F.col("v").alias("root")).union(small.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct(), "roots")

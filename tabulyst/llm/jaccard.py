@@ -11,7 +11,7 @@ product is counted for the pairs that are left, block of columns by block, until
 Scale. Equal sets collapse to one row of A before anything is paired. Columns found often while
 the texts are read go to the end of the order, so that they lead no set that has anything rarer. Pairs are
 formed in rounds: each column first pairs its rows with one pivot; rows already in one component
-are never paired again; a last round pairs, per column, what is outside its main component with all
+are never paired again; once few pairs are left, a last round pairs, per column, what is outside its main component with all
 other components, so no link between two components is lost.
 """
 
@@ -35,7 +35,8 @@ OVERLAP_PART, UNION_PART = 85, 100
 #: It only orders columns; every order gives the same links. So at most a million hashes are broadcast.
 FREQUENT = 48
 FREQUENT_SHARE = 1_000_000
-PIVOT_ROUNDS = 2
+#: The last round begins when it would meet this many rows for each entry, or when a round links nothing.
+REST_PAIRS = 20
 #: Bounds of the blocks of columns of the product.
 BLOCKS = np.append(np.arange(8, dtype=np.uint64) << np.uint64(61), np.uint64(2**64 - 1))
 
@@ -217,14 +218,20 @@ def _pivot_pairs(entries: DataFrame, turn: int) -> DataFrame:
     return own.join(reach, ["shingle", "class"]).where("root <> p.root")
 
 
+def _few_left(entries: DataFrame) -> bool:
+    """Whether the last round would meet no more than REST_PAIRS rows for each entry."""
+    counted = entries.groupBy("shingle", "root").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.sum("m").alias("all"), F.max("m").alias("main"))
+    found = counted.agg(F.sum("all"), F.sum(F.col("all").cast("double") * (F.col("all") - F.col("main")))).first()
+    return (found[1] or 0) <= REST_PAIRS * (found[0] or 0)
+
+
 def _rest_pairs(entries: DataFrame, stages: Stages) -> DataFrame:
     """Per column, every entry outside its main component with every entry of another component."""
     counted = entries.groupBy("shingle", "root").agg(F.count("*").alias("m"))
     main = counted.groupBy("shingle").agg(F.max(F.struct("m", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     live = stages.keep(entries.join(main.select("shingle", F.col("main.root").alias("main")), "shingle"), "live")
     outside = live.where("root <> main").select("shingle", F.struct("node", "n", "place", "root").alias("p"))
-    sizes = F.least("n", "p.n") * UNION_PART >= F.greatest("n", "p.n") * OVERLAP_PART
-    pairs = live.join(outside, "shingle").where("root <> p.root").where(sizes)
+    pairs = live.join(outside, "shingle").where("root <> p.root")
     return pairs.where((F.col("root") == F.col("main")) | (F.col("node") < F.col("p.node")))
 
 
@@ -245,16 +252,13 @@ def _plausible(counted: DataFrame) -> DataFrame:
     return counted.where(F.col("c") + F.greatest(*behind) >= _least_overlap(F.col("n_a"), F.col("n_b"))).select("a", "b")
 
 
-def _pivot_candidates(entries: DataFrame, turn: int, stages: Stages) -> DataFrame:
-    pairs = stages.keep(_named(_bounded(_pivot_pairs(entries, turn))).distinct(), "pivots")
-    own = entries.select(F.col("node").alias("a"), "shingle")
-    other = entries.select(F.col("node").alias("b"), "shingle")
-    counted = pairs.join(own, "a").join(other, ["b", "shingle"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c"))
-    return _plausible(counted)
-
-
-def _rest_candidates(entries: DataFrame, stages: Stages) -> DataFrame:
-    return _plausible(_named(_rest_pairs(entries, stages)).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c")))
+def _candidates(joined: DataFrame, entries: DataFrame, stages: Stages) -> DataFrame:
+    """Plausible pairs of the bounded ones, by the overlap of their leading columns."""
+    pairs = stages.keep(_named(_bounded(joined)).distinct(), "bounded")
+    leading = stages.keep(entries.groupBy("node").agg(F.collect_set("shingle").alias("own")), "leading")
+    both = pairs.join(leading.select(F.col("node").alias("a"), F.col("own").alias("xs")), "a")
+    both = both.join(leading.select(F.col("node").alias("b"), F.col("own").alias("ys")), "b")
+    return _plausible(both.withColumn("c", F.size(F.array_intersect("xs", "ys"))))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -273,21 +277,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     entries = _entries(plain, read, shingle, stages)
     roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
-    for turn in range(PIVOT_ROUNDS + 1):
-        pairs = _pivot_candidates(entries, turn, stages) if turn < PIVOT_ROUNDS else _rest_candidates(entries, stages)
-        pairs = stages.keep(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
+    turn, last, linked = 0, False, True
+    while not last:
+        last = turn > 0 and (not linked or _few_left(entries))
+        joined = _rest_pairs(entries, stages) if last else _pivot_pairs(entries, turn)
+        pairs = stages.keep(_candidates(joined, entries, stages), "pairs")
+        turn += 1
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = key_map(rows.where("n > 0").join(nodes, "node").groupBy("node").agg(F.min("key").alias("key")))
         sets = plain.select("key", "text").mapInArrow(_whole(context.broadcast(wanted), shingle), "node bigint, shingles array<bigint>")
         links = stages.keep(_links(pairs, sets.groupBy("node").agg(F.first("shingles").alias("shingles"))), "links")
-        if links.isEmpty():
-            continue
-        roots = components(links.union(roots.where("node <> root").toDF("a", "b")), stages)
-        entries = stages.keep(
-            entries.drop("root").join(roots, "node", "left").select("shingle", "node", "n", "place", F.coalesce("root", "node").alias("root")),
-            "entries")
+        linked = not links.isEmpty()
+        if linked:
+            roots = components(links.union(roots.where("node <> root").toDF("a", "b")), stages)
+            entries = stages.keep(
+                entries.drop("root").join(roots, "node", "left").select("shingle", "node", "n", "place", F.coalesce("root", "node").alias("root")),
+                "entries")
     return _answer(rows, roots, stages)
 
 

@@ -70,10 +70,10 @@ def test_jaccard_is_brute_force(spark, copies):
     assert answer(spark.createDataFrame(copies, "doc_id long, text string").repartition(7)) == brute(copies)
 
 
-@pytest.mark.parametrize("frequent,rounds", [(2, 0), (1, 2), (10**6, 1)])
-def test_order_and_rounds_change_nothing(spark, copies, monkeypatch, frequent, rounds):
+@pytest.mark.parametrize("frequent,pairs", [(2, 0), (1, 20), (10**6, 1)])
+def test_order_and_rounds_change_nothing(spark, copies, monkeypatch, frequent, pairs):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
-    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "REST_PAIRS", pairs)
     assert answer(spark.createDataFrame(copies, "doc_id long, text string").repartition(3)) == brute(copies)
 
 
