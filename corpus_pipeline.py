@@ -2,7 +2,7 @@
 
 Each stage takes the documents that the one before kept, as written Parquet. The stages and their
 decisions: documents of no language, or of none with a share of 0.4, go; of each component of near
-duplicates the document of least id stays; documents with any benchmark window go; secrets are
+duplicates (five-word similarity of 0.8 or more) the document of least id stays; documents with any benchmark window go; secrets are
 masked and n_chars follows; what is left is cut into pieces and packed into sequences.
 """
 
@@ -15,6 +15,8 @@ from tabulyst.llm import decontaminate, jaccard, language, packing, secrets
 from tabulyst.llm.frames import Stages, replaced
 
 LEAST_SHARE = 0.4
+#: Near duplicates: words of a shingle, and hundredths of similarity from which on documents link.
+NEAR_WORDS, NEAR_PART = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +24,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_component(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_first(docs)
+    return jaccard.keep_first(docs, shingle=NEAR_WORDS, part=NEAR_PART)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from tabulyst.llm.frames import Stages, id_key, in_map, key_map, pick
 from tabulyst.llm.textbytes import NONSPACE, HashSet, Words, chunks, mix, split_words, utf8, windows
 
 SHINGLE = 4
-#: Link if UNION_PART * intersection >= OVERLAP_PART * union.
+#: Link if UNION_PART * intersection >= part * union; OVERLAP_PART is the part unless another is asked for.
 OVERLAP_PART, UNION_PART = 85, 100
 #: A column seen this often, and in more than a millionth of what was seen, is put last in the order.
 #: It only orders columns; every order gives the same links. So at most a million hashes are broadcast.
@@ -101,12 +101,12 @@ def _name_sets(n: int):
     return run
 
 
-def _needed(sizes: np.ndarray | int):
+def _needed(sizes: np.ndarray | int, part: int):
     """Entries of a row of A that can hold the first column common with a set that it links to."""
-    return sizes - -(-OVERLAP_PART * sizes // UNION_PART) + 1
+    return sizes - -(-part * sizes // UNION_PART) + 1
 
 
-def _leading(broadcast, n: int):
+def _leading(broadcast, n: int, part: int):
     """Leading entries of each distinct set of the task: shingle, node, size, place, whether frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,7 @@ def _leading(broadcast, n: int):
                     seen.add(node)
                     last = frequent.contains(own)
                     ordered = np.concatenate([own[~last], own[last]]) if last.any() else own
-                    m = int(_needed(len(own)))
+                    m = int(_needed(len(own), part))
                     place = np.arange(m, dtype=np.int32)
                     out.append((ordered[:m].view(np.int64), np.full(m, node, np.int64), np.full(m, len(own), np.int32), place, place >= len(own) - int(last.sum())))
                 if out:
@@ -147,26 +147,25 @@ def _whole(broadcast, n: int):
     return run
 
 
-def _least_overlap(n, m):
+def _least_overlap(n, m, part: int):
     """SQL expression: shingles that sets of n and m shingles must share to link."""
-    total = OVERLAP_PART + UNION_PART
-    return F.ceil((n + m) * OVERLAP_PART / F.lit(total) - F.lit(1e-9))
+    return F.ceil((n + m) * part / F.lit(part + UNION_PART) - F.lit(1e-9))
 
 
-def _bounded(pairs: DataFrame) -> DataFrame:
+def _bounded(pairs: DataFrame, part: int) -> DataFrame:
     """Pairs of entries of one column whose sizes and places still allow enough common shingles."""
-    least = _least_overlap(F.col("n"), F.col("p.n"))
+    least = _least_overlap(F.col("n"), F.col("p.n"), part)
     return pairs.where(
-        (F.col("node") != F.col("p.node")) & (F.least("n", "p.n") * UNION_PART >= F.greatest("n", "p.n") * OVERLAP_PART)
+        (F.col("node") != F.col("p.node")) & (F.least("n", "p.n") * UNION_PART >= F.greatest("n", "p.n") * part)
         & (F.col("place") + least <= F.col("n")) & (F.col("p.place") + least <= F.col("p.n"))
     )
 
 
-def _common(x: np.ndarray, y: np.ndarray) -> int:
+def _common(x: np.ndarray, y: np.ndarray, part: int) -> int:
     """Overlap of two sorted sets, block of columns by block; 0 once the blocks left can't reach the bound."""
     if len(x) > len(y):
         x, y = y, x
-    least = -(-OVERLAP_PART * (len(x) + len(y)) // (OVERLAP_PART + UNION_PART))
+    least = -(-part * (len(x) + len(y)) // (part + UNION_PART))
     xs, ys, common = np.searchsorted(x, BLOCKS), np.searchsorted(y, BLOCKS), 0
     for i in range(len(BLOCKS) - 1):
         if common + min(len(x) - xs[i], len(y) - ys[i]) < least:
@@ -179,40 +178,44 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return common
 
 
-def _count_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_overlaps(part: int):
     """Rows (a, b, sets of both): those whose exact overlap makes a link."""
-    for batch in batches:
-        kept = []
-        left, right = (batch.column(x) for x in ("xs", "ys"))
-        lv, rv = (x.values.to_numpy().view(np.uint64) for x in (left, right))
-        lo, ro = left.offsets.to_numpy(), right.offsets.to_numpy()
-        for i in range(len(batch)):
-            x, y = lv[lo[i] : lo[i + 1]], rv[ro[i] : ro[i + 1]]
-            common = _common(x, y)
-            if common and UNION_PART * common >= OVERLAP_PART * (len(x) + len(y) - common):
-                kept.append(i)
-        yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
-
-
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            left, right = (batch.column(x) for x in ("xs", "ys"))
+            lv, rv = (x.values.to_numpy().view(np.uint64) for x in (left, right))
+            lo, ro = left.offsets.to_numpy(), right.offsets.to_numpy()
+            for i in range(len(batch)):
+                x, y = lv[lo[i] : lo[i + 1]], rv[ro[i] : ro[i + 1]]
+                common = _common(x, y, part)
+                if common and UNION_PART * common >= part * (len(x) + len(y) - common):
+                    kept.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+    return run
+
+
+def _links(pairs: DataFrame, sets: DataFrame, part: int) -> DataFrame:
     """The pairs (a, b) that link, by the exact overlap of their whole sets; both joins share one exchange of the sets."""
     joined = (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xs")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("ys")), "b")
     )
-    return joined.select("a", "b", "xs", "ys").mapInArrow(_count_overlaps, "a bigint, b bigint")
+    return joined.select("a", "b", "xs", "ys").mapInArrow(_count_overlaps(part), "a bigint, b bigint")
 
 
-def _size_class(column):
+def _size_class(column, part: int):
     """Sizes a link can join lie in the same or the next class."""
-    return F.floor(F.log(column.cast("double")) / F.log(F.lit(UNION_PART / OVERLAP_PART)))
+    return F.floor(F.log(column.cast("double")) / F.log(F.lit(UNION_PART / part)))
 
 
-def _pivot_pairs(entries: DataFrame, turn: int) -> DataFrame:
+def _pivot_pairs(entries: DataFrame, turn: int, part: int) -> DataFrame:
     """Each entry with one pivot of its column and of the size class below: the least led in the
     first turn, later one picked by hash; only entries of different components."""
     rank = F.col("place").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    own = entries.withColumn("class", _size_class(F.col("n")))
+    own = entries.withColumn("class", _size_class(F.col("n"), part))
     pivots = own.groupBy("shingle", "class").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "place", "root")).alias("p"))
     reach = pivots.select("shingle", F.explode(F.array("class", F.col("class") + 1)).alias("class"), "p")
     return own.join(reach, ["shingle", "class"]).where("root <> p.root")
@@ -242,32 +245,35 @@ def _named(pairs: DataFrame) -> DataFrame:
         F.col("e")[0]["node"].alias("a"), F.col("e")[0]["n"].alias("n_a"), F.col("e")[1]["node"].alias("b"), F.col("e")[1]["n"].alias("n_b"))
 
 
-def _plausible(counted: DataFrame) -> DataFrame:
+def _plausible(counted: DataFrame, part: int) -> DataFrame:
     """Pairs whose number `c` of common leading entries still allows a link.
 
     In the set whose leading entries end first in the order, none but those c of them is in the other, so the
     overlap is at most c plus what lies behind the leading entries.
     """
-    behind = [F.ceil(F.col(x) * OVERLAP_PART / F.lit(UNION_PART) - F.lit(1e-9)) - 1 for x in ("n_a", "n_b")]
-    return counted.where(F.col("c") + F.greatest(*behind) >= _least_overlap(F.col("n_a"), F.col("n_b"))).select("a", "b")
+    behind = [F.ceil(F.col(x) * part / F.lit(UNION_PART) - F.lit(1e-9)) - 1 for x in ("n_a", "n_b")]
+    return counted.where(F.col("c") + F.greatest(*behind) >= _least_overlap(F.col("n_a"), F.col("n_b"), part)).select("a", "b")
 
 
-def _candidates(joined: DataFrame, entries: DataFrame, stages: Stages) -> DataFrame:
+def _candidates(joined: DataFrame, entries: DataFrame, stages: Stages, part: int) -> DataFrame:
     """Plausible pairs of the bounded ones, by the overlap of their leading columns."""
-    pairs = stages.keep(_named(_bounded(joined)).distinct(), "bounded")
+    pairs = stages.keep(_named(_bounded(joined, part)).distinct(), "bounded")
     leading = stages.keep(entries.groupBy("node").agg(F.collect_set("shingle").alias("own")), "leading")
     both = pairs.join(leading.select(F.col("node").alias("a"), F.col("own").alias("xs")), "a")
     both = both.join(leading.select(F.col("node").alias("b"), F.col("own").alias("ys")), "b")
-    return _plausible(both.withColumn("c", F.size(F.array_intersect("xs", "ys"))))
+    return _plausible(both.withColumn("c", F.size(F.array_intersect("xs", "ys"))), part)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, part: int = OVERLAP_PART) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id reachable by links).
 
     A null or wordless text has an empty set, no link and itself as component. Repeated rows share
     their set and so their component. A null doc_id is never the least one; a component of null ids
-    only has a null component_id. Extra columns are ignored, whatever their names.
+    only has a null component_id. Extra columns are ignored, whatever their names. Texts link whose sets of `shingle`
+    words have a similarity of `part` hundredths or more; part is a whole number from 1 to 99.
     """
+    if not 0 < part < UNION_PART:
+        raise ValueError(f"part is a whole number from 1 to {UNION_PART - 1}; it was {part!r}")
     stages, context = Stages(docs.sparkSession), docs.sparkSession.sparkContext
     plain = pick(docs, {"doc_id": doc_id, "text": text}).withColumn("key", id_key("doc_id"))
     kind = plain.schema["doc_id"].dataType.simpleString()
@@ -275,18 +281,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     read = stages.keep(named, "named")
     rows = read.where("kind = 0").select("doc_id", "key", "node", "n")
 
-    entries = _entries(plain, read, shingle, stages)
+    entries = _entries(plain, read, shingle, stages, part)
     roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
     turn, last, linked = 0, False, True
     while not last:
         last = turn > 0 and (not linked or _few_left(entries))
-        joined = _rest_pairs(entries, stages) if last else _pivot_pairs(entries, turn)
-        pairs = stages.keep(_candidates(joined, entries, stages), "pairs")
+        joined = _rest_pairs(entries, stages) if last else _pivot_pairs(entries, turn, part)
+        pairs = stages.keep(_candidates(joined, entries, stages, part), "pairs")
         turn += 1
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = key_map(rows.where("n > 0").join(nodes, "node").groupBy("node").agg(F.min("key").alias("key")))
         sets = plain.select("key", "text").mapInArrow(_whole(context.broadcast(wanted), shingle), "node bigint, shingles array<bigint>")
-        links = stages.keep(_links(pairs, sets.groupBy("node").agg(F.first("shingles").alias("shingles"))), "links")
+        links = stages.keep(_links(pairs, sets.groupBy("node").agg(F.first("shingles").alias("shingles")), part), "links")
         linked = not links.isEmpty()
         if linked:
             roots = components(links.union(roots.where("node <> root").toDF("a", "b")), stages)
@@ -296,13 +302,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _answer(rows, roots, stages)
 
 
-def _entries(plain: DataFrame, read: DataFrame, shingle: int, stages: Stages) -> DataFrame:
+def _entries(plain: DataFrame, read: DataFrame, shingle: int, stages: Stages, part: int) -> DataFrame:
     """Leading entries of A in columns of two rows or more."""
     seen = read.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
     total = read.where("kind = 1").agg(F.sum("n")).first()[0] or 0
     frequent = seen.where(F.col("n") > max(FREQUENT, total // FREQUENT_SHARE)).select("key").toArrow()
     order = plain.sparkSession.sparkContext.broadcast(HashSet(frequent.column("key").to_numpy().view(np.uint64)))
-    led = plain.select("text").mapInArrow(_leading(order, shingle), "shingle bigint, node bigint, n int, place int, frequent boolean")
+    led = plain.select("text").mapInArrow(_leading(order, shingle, part), "shingle bigint, node bigint, n int, place int, frequent boolean")
     # Frequent columns have many rows; they are dealt by node too, as they needn't be gathered to see it.
     marked = led.withColumn("salt", F.when(F.col("frequent"), F.col("node")))
     column = Window.partitionBy("shingle", "salt").orderBy("node")
@@ -319,12 +325,12 @@ def _answer(rows: DataFrame, roots: DataFrame, stages: Stages) -> DataFrame:
     return linked.union(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, part: int = OVERLAP_PART) -> DataFrame:
     """docs, all columns, with the document of least id of each component; documents without words stay.
 
     Ids are taken to be unique; rows that repeat an id stay or go together.
     """
-    found = near_duplicates(docs, doc_id, text, shingle)
+    found = near_duplicates(docs, doc_id, text, shingle, part)
     gone = found.where("doc_id <> component_id or component_id is null and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct()
     names, place = docs.columns, f"c{docs.columns.index(doc_id)}"
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])

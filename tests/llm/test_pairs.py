@@ -3,6 +3,7 @@
 import random
 import re
 
+import corpus_pipeline
 import pytest
 
 from tabulyst.llm import jaccard
@@ -94,3 +95,36 @@ def test_components_of_long_paths(spark):
     real = [(a, b) for a, b in links if a is not None and a != b]
     assert {r["node"]: r["root"] for r in found} == roots_of({x for link in real for x in link}, real)
     assert components(spark.createDataFrame([], "a long, b long"), Stages(spark)).count() == 0
+
+
+def test_pipeline_stage_links_from_four_fifths_of_five_words(spark):
+    draw = random.Random(11)
+
+    def fresh(k):
+        return [f"v{draw.randrange(10**9)}" for _ in range(k)]
+
+    rows, n = [], 0
+    for size in (40, 104, 204):
+        text = fresh(size)
+        whole = size - 4  # shingles of five words
+        for similarity in (0.78, 0.799, 0.80, 0.81, 0.83, 0.86):
+            own = [x + f"s{n}" for x in text]
+            rows += [(n, " ".join(own)), (n + 1, " ".join(own + fresh(round(whole / similarity) - whole)))]
+            n += 2
+    for _ in range(20):  # chains of changed words around the threshold
+        text = draw.choices([f"w{i}" for i in range(300)], k=90)
+        for _ in range(4):
+            rows.append((n, " ".join(text)))
+            text, n = text[:], n + 1
+            for at in draw.sample(range(90), 2):
+                text[at] = draw.choice(["a", "b", "c"])
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (text.split() for _, text in rows)]
+    alike = [(i, j, len(sets[i] & sets[j]) / len(sets[i] | sets[j])) for i in range(len(rows)) for j in range(i)]
+    root = roots_of(range(len(rows)), [(i, j) for i, j, x in alike if x >= 0.8])
+    for low, high in ((0.80, 0.82), (0.82, 0.84)):
+        assert sum(low <= x < high for _, _, x in alike) >= 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = {r["doc_id"] for r in corpus_pipeline.one_of_each_component(spark, docs, "").collect()}
+    assert kept == {i for i in root if root[i] == i}
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert found == {i: c for i, _, c in brute(rows)}  # the defaults stay
