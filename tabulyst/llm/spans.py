@@ -1,7 +1,8 @@
 """Substring deduplication by sliding sentence spans.
 
-Every run of several consecutive sentences is hashed: from each sentence on the shortest run of at
-least two sentences and twenty words. Runs are joined over all documents; the first occurrence of
+Runs of several consecutive sentences are hashed: from each sentence on, and back from each sentence, the shortest
+run of at least two sentences and twenty words; so every sentence of a repeated run lies in a run that is repeated
+with it. Runs are joined over all documents; the first occurrence of
 a repeated run, by document and place, stays, and every sentence that any other occurrence covers
 is removed. Runs seen once never leave the task that reads them, but for one count of their hash: a bit
 map of fixed size turns them away before occurrences are moved.
@@ -71,9 +72,14 @@ def _runs(data: np.ndarray, offsets: np.ndarray, sentences: int, least: int):
         empty = np.empty(0, np.int64)
         return counts, empty, np.empty(0, np.uint64), empty, empty
     row = np.repeat(np.arange(len(counts)), counts)
-    last = np.maximum(np.searchsorted(ends, first + least), np.arange(len(first)) + sentences - 1)
-    able = np.flatnonzero(last < per_row[1:][row])
-    last, row = last[able], row[able]
+    own = np.arange(len(first))
+    last = np.maximum(np.searchsorted(ends, first + least), own + sentences - 1)
+    on = np.flatnonzero(last < per_row[1:][row])
+    head = np.minimum(np.searchsorted(first, ends - least, "right") - 1, own - sentences + 1)
+    back = np.flatnonzero(head >= per_row[:-1][row])
+    pairs = np.unique(np.concatenate([own[on] * len(first) + last[on], head[back] * len(first) + own[back]]))
+    able, last = pairs // len(first), pairs % len(first)
+    row = row[able]
     hashes = run_hashes(words, first[able], ends[last])
     after = np.append(words.starts, len(data))[ends[last]]
     return counts, row, hashes, words.starts[first[able]] - offsets[row], np.minimum(after, offsets[row + 1]) - offsets[row]

@@ -105,3 +105,30 @@ def test_passages_without_marks_are_caught(spark):
     left = [sum(w in passage for w in words_of(found[i]["text"])) for i in range(4)]
     assert found[0]["n_removed"] == 0 and max(left[1:]) < 45
     assert all(f"start{i}" in found[i]["text"] and f"end{i}" in found[i]["text"] for i in range(4))
+
+
+def brute_runs(rows):
+    """Sentences in any later occurrence of any run of two sentences and more with twenty words and more."""
+    seen, gone = {}, {}
+    for doc_id, sentences in rows:
+        gone[doc_id] = set()
+        for i in range(len(sentences)):
+            for j in range(i + 2, len(sentences) + 1):
+                key = tuple(words_of(" ".join(sentences[i:j])))
+                if len(key) >= 20 and seen.setdefault(key, (doc_id, i)) != (doc_id, i):
+                    gone[doc_id].update(range(i, j))
+    return {k: len(v) for k, v in gone.items()}
+
+
+def test_last_sentences_of_repeated_runs_go(spark):
+    draw = random.Random(4)
+    pool = [" ".join(f"x{draw.randrange(10**6)}" for _ in range(draw.randrange(1, 16))) + "." for _ in range(40)]
+    rows = [(0, [" ".join(["a b c d e"] * k) + f" {k}." for k in (3, 2, 1)])]
+    rows.append((1, rows[0][1]))  # an exact copy: 16, 11 and 6 words
+    for i in range(2, 60):
+        at = draw.randrange(30)
+        rows.append((i, [f"u{i}a v{i}.", *pool[at:at + draw.randrange(2, 9)], f"y{i} z{i}."]))
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in rows], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in spans.dedup_spans(docs).collect()}
+    assert {i: r["n_removed"] for i, r in found.items()} == brute_runs(rows)
+    assert found[1]["text"] == ""
