@@ -2,10 +2,13 @@
 
 Runs of several consecutive sentences are hashed: from each sentence on, and back from each sentence, the shortest
 run of at least two sentences and twenty words; so every sentence of a repeated run lies in a run that is repeated
-with it. Runs are joined over all documents; the first occurrence of
-a repeated run, by document and place, stays, and every sentence that any other occurrence covers
-is removed. Runs seen once never leave the task that reads them, but for one count of their hash: a bit
-map of fixed size turns them away before occurrences are moved.
+with it. Passages need no marks: every window of fifty words counts as a run too, wherever it starts. A window is
+hashed only if the least of its hashes of twenty words, which equal windows share, occurs twice in all documents.
+
+Runs are joined over all documents; the first occurrence of a repeated run, by document and place, stays, and what
+any other occurrence covers is removed, but for fewer than EDGE words of a sentence that goes on beyond it. Runs seen
+once never leave the task that reads them, but for one count of their hash: a bit map of fixed size turns them away
+before occurrences are moved.
 """
 
 from __future__ import annotations
@@ -21,6 +24,10 @@ from tabulyst.llm.frames import Stages, in_map, key_map, pick
 from tabulyst.llm.textbytes import ALNUM, chunks, run_hashes, split_words, utf8
 
 SENTENCES, WORDS = 2, 20
+#: Words of a window; a repeated passage of as many and more goes, whatever its sentences.
+PASSAGE = 50
+#: Fewer words of a sentence at an end of what is removed stay with the rest of their sentence.
+EDGE = 4
 #: Sentences of more words are split further.
 LONG = 40
 
@@ -31,12 +38,13 @@ def _is(data: np.ndarray, values: bytes) -> np.ndarray:
     return known[data]
 
 
-def sentence_bounds(data: np.ndarray, words) -> np.ndarray:
+def sentence_bounds(data: np.ndarray, words, cuts: bool = True) -> np.ndarray:
     """First word of every sentence that has a word, in order, and the number of words as last entry.
 
     A sentence ends at a line end, after . ! or ? before white space, after a CJK full stop, question
     or exclamation mark, and with its text. One of more than LONG words also ends at commas, colons and
-    semicolons, and what is still longer before words whose hash says so: alike wherever its text lies.
+    semicolons, and what is still longer before words whose hash says so: alike wherever its text lies. Without `cuts`
+    long ones stay whole.
     """
     n = len(words.starts)
     if not n:
@@ -54,60 +62,90 @@ def sentence_bounds(data: np.ndarray, words) -> np.ndarray:
     heads = words.rows[:-1]
     new[heads[heads < n]] = True
     cut = words.hashes & np.uint64(7) == 0
-    for more in (finer, cut):
+    for more in (finer, cut) if cuts else ():
         first = np.flatnonzero(new)
         lengths = np.diff(np.append(first, n))
         new |= more & np.repeat(lengths > LONG, lengths)
     return np.append(np.flatnonzero(new), n)
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray, sentences: int, least: int):
-    """(sentences of each row, row, hash, first byte, end byte) of the runs; bytes count from the row's start."""
-    words = split_words(data, offsets, ALNUM)
-    bounds = sentence_bounds(data, words)
+def _runs(words, bounds: np.ndarray, sentences: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of the runs from each sentence on and back from each, every run once."""
     first, ends = bounds[:-1], bounds[1:]
-    per_row = np.searchsorted(first, words.rows)
-    counts = np.diff(per_row)
     if not len(first):
-        empty = np.empty(0, np.int64)
-        return counts, empty, np.empty(0, np.uint64), empty, empty
-    row = np.repeat(np.arange(len(counts)), counts)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    per_row = np.searchsorted(first, words.rows)
+    row = np.repeat(np.arange(len(per_row) - 1), np.diff(per_row))
     own = np.arange(len(first))
     last = np.maximum(np.searchsorted(ends, first + least), own + sentences - 1)
     on = np.flatnonzero(last < per_row[1:][row])
     head = np.minimum(np.searchsorted(first, ends - least, "right") - 1, own - sentences + 1)
     back = np.flatnonzero(head >= per_row[:-1][row])
     pairs = np.unique(np.concatenate([own[on] * len(first) + last[on], head[back] * len(first) + own[back]]))
-    able, last = pairs // len(first), pairs % len(first)
-    row = row[able]
-    hashes = run_hashes(words, first[able], ends[last])
-    after = np.append(words.starts, len(data))[ends[last]]
-    return counts, row, hashes, words.starts[first[able]] - offsets[row], np.minimum(after, offsets[row + 1]) - offsets[row]
+    return first[pairs // len(first)], ends[pairs % len(first)]
+
+
+def _sliding(values: np.ndarray, width: int, pick_of) -> np.ndarray:
+    """pick_of (minimum or maximum) of every `width` values that follow each other."""
+    size = 1
+    while 2 * size <= width:
+        values, size = pick_of(values[:-size], values[size:]), 2 * size
+    return pick_of(values[: size - width], values[width - size :]) if size < width else values
 
 
-def _hashes(sentences: int, least: int):
+def _windows(words, passage: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchors, first word of each window of `passage` words in one row, its anchor).
+
+    A window's anchor is the least hash of `least` words in it. Anchors are listed once for every place that is one.
+    """
+    total, least = len(words.hashes), min(least, passage)
+    if total < passage:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    low, width = np.arange(total - least + 1), passage - least + 1
+    hashes = run_hashes(words, low, low + least)
+    anchor = _sliding(hashes, width, np.minimum)
+    row = np.repeat(np.arange(len(words.rows) - 1), words.counts())
+    whole = row[: len(anchor)] == row[passage - 1 :]
+    beside = np.zeros(width - 1, np.uint64)
+    greatest = _sliding(np.concatenate([beside, np.where(whole, anchor, np.uint64(0)), beside]), width, np.maximum)
+    first = np.flatnonzero(whole)
+    return hashes[greatest == hashes], first, anchor[first]
+
+
+def _hashes(sentences: int, least: int, passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for low, high in chunks(offsets):
-                at = offsets[low]
-                found = _runs(data[at : offsets[high]], offsets[low : high + 1] - at, sentences, least)[2]
+                part, rows = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+                words = split_words(part, rows, ALNUM)
+                runs = run_hashes(words, *_runs(words, sentence_bounds(part, words), sentences, least))
+                # Anchors are not runs: a run of as many words must not count for them.
+                found = np.concatenate([runs, ~_windows(words, passage, least)[0]])
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["key"])
 
     return run
 
 
-def _occurrences(broadcast, sentences: int, least: int):
+def _occurrences(broadcast, sentences: int, least: int, passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for low, high in chunks(offsets):
-                at = offsets[low]
-                _, row, found, start, end = _runs(data[at : offsets[high]], offsets[low : high + 1] - at, sentences, least)
+                part, rows = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+                words = split_words(part, rows, ALNUM)
+                first, after = _runs(words, sentence_bounds(part, words), sentences, least)
+                found = run_hashes(words, first, after)
                 maybe = in_map(broadcast.value, found.view(np.int64))
-                rows = pa.array(row[maybe] + low)
+                _, window, anchor = _windows(words, passage, least)
+                window = window[in_map(broadcast.value, (~anchor).view(np.int64))]
+                keys = np.concatenate([found[maybe], run_hashes(words, window, window + passage)])
+                first, after = np.concatenate([first[maybe], window]), np.concatenate([after[maybe], window + passage])
+                row = np.searchsorted(words.rows, first, "right") - 1
+                end = np.minimum(np.append(words.starts, len(part))[after], rows[row + 1])
+                of = pa.array(row + low)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[maybe].view(np.int64)), batch.column("doc_id").take(rows), batch.column("version").take(rows), pa.array(start[maybe]), pa.array(end[maybe])],
+                    [pa.array(keys.view(np.int64)), batch.column("doc_id").take(of), batch.column("version").take(of), pa.array(words.starts[first] - rows[row]), pa.array(end - rows[row])],
                     names=["key", "doc_id", "version", "start", "end"])
 
     return run
@@ -123,8 +161,19 @@ def _merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def _trimmed(low: int, high: int, bounds: np.ndarray) -> tuple[int, int]:
+    """Words low:high without fewer than EDGE words of a sentence that goes on before or behind them."""
+    at = int(np.searchsorted(bounds, low, "right"))
+    if bounds[at - 1] < low and bounds[at] < high and bounds[at] - low < EDGE:
+        low = int(bounds[at])
+    at = int(np.searchsorted(bounds, high))
+    if bounds[at] > high and bounds[at - 1] > low and high - bounds[at - 1] < EDGE:
+        high = int(bounds[at - 1])
+    return low, high
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut the byte ranges out of each text; count all sentences and those that went."""
+    """Cut the byte ranges out of each text; count all sentences and those that went whole."""
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         texts, counts, gone, spans = [], [], [], []
@@ -135,6 +184,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = split_words(part, rows, ALNUM)
             bounds = sentence_bounds(part, words)
             places = words.starts[bounds[:-1]]
+            marked = sentence_bounds(part, words, cuts=False) if any(starts[low:high]) else bounds
+            after = np.append(words.starts, len(part))
             per_row = np.searchsorted(places, rows)
             counts += np.diff(per_row).tolist()
             for i in range(high - low):
@@ -143,22 +194,25 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     gone.append(0)
                     spans.append([])
                     continue
-                ranges, kept, before = _merged(starts[low + i], ends[low + i]), [], 0
+                ranges, kept, before, whole = [], [], 0, 0
+                for start, end in _merged(starts[low + i], ends[low + i]):
+                    first, behind = _trimmed(*np.searchsorted(words.starts, (rows[i] + start, rows[i] + end)).tolist(), marked)
+                    ranges.append((int(words.starts[first] - rows[i]), int(min(after[behind], rows[i + 1]) - rows[i])))
+                    whole += max(0, int(np.searchsorted(bounds, behind, "right")) - 1 - int(np.searchsorted(bounds, first)))
                 own = part[rows[i] : rows[i + 1]]
                 for start, end in ranges:
                     kept.append(own[before:start].tobytes())
                     before = end
                 texts.append(b"".join([*kept, own[before:].tobytes()]).decode())
-                sentence = places[per_row[i] : per_row[i + 1]] - rows[i]
-                gone.append(int(sum(np.searchsorted(sentence, e) - np.searchsorted(sentence, s) for s, e in ranges)))
+                gone.append(whole)
                 spans.append([list(x) for x in ranges])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(texts, batch.column("text").type), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
             names=["doc_id", "text", "n_sentences", "n_removed", "spans"])
 
 
-def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, text without repeated spans, sentences, sentences removed, byte ranges removed.
+def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sentences: int = SENTENCES, words: int = WORDS, passage: int = PASSAGE) -> DataFrame:
+    """One row per document: doc_id, text without repeated spans, sentences, sentences removed whole, byte ranges removed.
 
     Documents count in the order of their ids (null first, then by a hash of their text), so the first
     occurrence of a run stays in the document of least id. Rows equal in id and text are one document and get
@@ -167,11 +221,12 @@ def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sen
     stages, context = Stages(docs.sparkSession), docs.sparkSession.sparkContext
     plain = pick(docs, {"doc_id": doc_id, "text": text}).withColumn("version", F.xxhash64("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
-    counted = plain.select("text").mapInArrow(_hashes(sentences, words), "key bigint").groupBy("key").agg(F.count("*").alias("n"))
+    counted = plain.select("text").mapInArrow(_hashes(sentences, words, passage), "key bigint").groupBy("key").agg(F.count("*").alias("n"))
     repeated = stages.keep(counted.where("n > 1").select("key"), "repeated")
-    found = plain.mapInArrow(_occurrences(context.broadcast(key_map(repeated)), sentences, words), f"key bigint, doc_id {kind}, version bigint, start bigint, end bigint")
-    found = stages.keep(found.join(repeated, "key"), "occurrences")
-    first = stages.keep(found.groupBy("key").agg(F.min(F.struct("doc_id", "version", "start")).alias("first")), "first")
+    found = plain.mapInArrow(_occurrences(context.broadcast(key_map(repeated)), sentences, words, passage), f"key bigint, doc_id {kind}, version bigint, start bigint, end bigint")
+    found = stages.keep(found, "occurrences")
+    first = found.groupBy("key").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"), F.count("*").alias("n"))
+    first = stages.keep(first.where("n > 1").drop("n"), "first")
     later = found.join(first, "key").where(~F.struct("doc_id", "version", "start").eqNullSafe(F.col("first")))
     ranges = later.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
     ranges = stages.keep(ranges.select(F.col("doc_id").alias("d"), F.col("version").alias("v"), F.col("ranges.start").alias("starts"), F.col("ranges.end").alias("ends")), "ranges")

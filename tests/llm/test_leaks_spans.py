@@ -3,8 +3,11 @@
 import random
 import re
 
+import numpy as np
+
 from tabulyst.llm import decontaminate as leaks
 from tabulyst.llm import spans
+from tabulyst.llm.textbytes import ALNUM, run_hashes, split_words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -132,3 +135,35 @@ def test_last_sentences_of_repeated_runs_go(spark):
     found = {r["doc_id"]: r for r in spans.dedup_spans(docs).collect()}
     assert {i: r["n_removed"] for i, r in found.items()} == brute_runs(rows)
     assert found[1]["text"] == ""
+
+
+def test_passages_of_any_words_go_whole(spark):
+    """Marked or not, from any word to any word; only fewer than EDGE words of a sentence at an end may stay with it."""
+    draw = random.Random(6)
+    passages = [" ".join(f"w{draw.randrange(10**6)}" + draw.choice(marks) for _ in range(n)) for n in (50, 51, 64, 140) for marks in ([""], [""] * 29 + ["."])]
+    passages.append(" ".join(draw.choice(("lo", "la")) for _ in range(60)))  # few words
+    rows = [(3 * k + i, f"o{k}{i} p{k}{i} q{k}{i} r{k}{i} {x} s{k}{i} t{k}{i} u{k}{i} v{k}{i}") for k, x in enumerate(passages) for i in range(3)]
+    found = {r["doc_id"]: r["text"] for r in spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, passage in enumerate(passages):
+        assert found[3 * k] == rows[3 * k][1]
+        for i in (1, 2):
+            left, own = words_of(found[3 * k + i]), [f"{x}{k}{i}" for x in "opqrstuv"]
+            assert left[:4] == own[:4] and left[-4:] == own[4:]
+            inside = left[4:-4]
+            assert not inside or "." in passage and len(inside) < 2 * spans.EDGE
+
+
+def test_anchors_are_brute_force():
+    draw = random.Random(8)
+    texts = [" ".join(draw.choice("abc") for _ in range(n)).encode() for n in (0, 49, 50, 51, 200, 3, 90)]
+    offsets = np.cumsum([0, *map(len, texts)])
+    words = split_words(np.frombuffer(b"".join(texts), np.uint8), offsets, ALNUM)
+    anchors, first, of = spans._windows(words, 50, 20)
+    hashes, places, low = run_hashes(words, np.arange(len(words.starts) - 19), np.arange(20, len(words.starts) + 1)), set(), []
+    for head, tail in zip(words.rows[:-1].tolist(), words.rows[1:].tolist()):
+        for p in range(head, tail - 49):
+            least = min(hashes[p : p + 31])
+            low.append((p, least))
+            places.update(q for q in range(p, p + 31) if hashes[q] == least)
+    assert list(zip(first.tolist(), of)) == low
+    assert anchors.tolist() == hashes[sorted(places)].tolist()
