@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree without elements that never carry an article (menus, scripts, forms, adverts
-by name or by class). Every node has characters, tags, characters in links and link tags, and from
+A page becomes a tree without elements that never carry an article (menus, scripts, forms, and adverts and
+the like by class or id, unless such an element is a wrapper, as it holds a main element, an article element of at least half of the
+text of the longest, or most of the page's unlinked characters: then density decides). Every node has characters, tags, characters in links and link tags, and from
 them a link-adjusted density of characters per tag. The node with the greatest sum of child densities
 is the article; the least density between it and the body is the threshold above which other parts
 of the page add the best node below them.
@@ -56,26 +57,56 @@ class Page:
     """Tree of a page: per node parent, name, whether it is noise; text and block breaks in page order."""
 
     def __init__(self, html: str):
-        self.parent, self.name, self.noise = [-1], ["#page"], [False]
+        self.parent, self.name, self.noise, self.named = [-1], ["#page"], [False], [False]
         self.events: list[tuple[int, str | None]] = []
         self.open = [0]
         self.count: dict[str, int] = {}
         self._parse(html)
+        self._discard_named()
 
     def _start(self, name: str, attributes: str) -> int:
         parent = self.open[-1]
-        noise = self.noise[parent] or name in NOISE
+        noise, named = self.noise[parent] or name in NOISE, False
         if not noise and name == "header":
             noise = not any(self.name[i] in ("article", "main") for i in self.open)
         if not noise and attributes and name not in _KEPT:
             for key, value in _NAMED.findall(attributes):
                 value = value.strip("\"'")
-                noise |= value.lower() in _SCOPE_ROLES if key.lower() == "role" else bool(_NOISE_NAME.search(value))
+                if key.lower() == "role":
+                    noise |= value.lower() in _SCOPE_ROLES
+                else:
+                    named |= bool(_NOISE_NAME.search(value))
         self.parent.append(parent)
         self.name.append(name)
         self.noise.append(noise)
+        self.named.append(named)
         return len(self.parent) - 1
 
+    def _discard_named(self) -> None:
+        """Make noise of named elements and all below them, but for wrappers of the main part."""
+        if not any(self.named):
+            return
+        n = len(self.parent)
+        plain, linked = [0] * n, [False] * n
+        for i in range(1, n):
+            linked[i] = linked[self.parent[i]] or self.name[i] == "a"
+        for node, text in self.events:
+            if text and not linked[node]:
+                plain[node] += len(" ".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            if not self.noise[i]:
+                plain[self.parent[i]] += plain[i]
+        # Comments and teasers are article elements too, shorter than what they belong to.
+        longest = max((plain[i] for i in range(n) if self.name[i] == "article"), default=0)
+        holds = [x == "main" or x == "article" and 2 * plain[i] >= longest for i, x in enumerate(self.name)]
+        for i in range(n - 1, 0, -1):
+            if not self.noise[i]:
+                holds[self.parent[i]] |= holds[i]
+        for i in range(1, n):
+            wraps = holds[i] or 2 * plain[i] > plain[0]
+            self.noise[i] |= self.noise[self.parent[i]] or self.named[i] and not wraps
+        self.events = [(node, text) for node, text in self.events if text is None or not self.noise[node]]
+
     def _close(self, names: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
         """End the innermost open element of these names, and all in it, unless a container lies between."""
         if not any(self.count.get(x) for x in names):

@@ -21,6 +21,18 @@ def test_article_alone(page):
     assert main_text(page) == TEXT
 
 
+@pytest.mark.parametrize("name", [
+    "content has-sidebar", "no-sidebar", "container no-comments", "elementor-widget elementor-widget-text-editor", "widget Blog", "post-content social-share",
+])
+def test_names_do_not_discard_wrappers(name):
+    inner = ARTICLE.replace("article>", "div>")
+    furniture = "<div class='sidebar'><p>See also the other pages.</p></div><div id=footer><p>Made by us</p></div>"
+    comments = "<div class='comments'><ol><li class='comment'><article><p>Well said.</p></article></ol></div>"
+    for article in (ARTICLE, f"<main>{inner}</main>", inner):
+        assert main_text(f"<body><div class='{name}'>{article}{furniture}{comments}</div></body>") == TEXT
+        assert main_text(f"<body>{furniture}<div id='{name}'><div>{article}</div></div>{comments}</body>") == TEXT
+
+
 def test_open_tags_and_broken_markup():
     assert main_text("<p><b>one two<br><p>three <i>four</p> five < six</p>") == "one two\nthree four\nfive < six"
     assert main_text("plain  text\nhere") == "plain text here"
