@@ -29,7 +29,7 @@ from ..roles import ORDER_LISTING as ROLES
 from ..scratch import materialize, scratch_root
 from ..sources.csv import drop_duplicates, invalid_id_counts, read_csv, training_rows
 from ..sources.sinks import table_fingerprint, write_csv
-from ..config import TrainConfig
+from ..config import make_config
 from .eda import profile
 from .listing import listing, read
 from .predict import predict
@@ -427,20 +427,16 @@ def selected_by(method: str, **options):
     return query
 
 
-def small_config() -> TrainConfig:
-    return TrainConfig(models=("ridge",), feature_sets=("engineered",), cv_folds=2)
-
-
 def train_job(spark, directory):
     run = fresh(spark)
-    train(spark, listing(spark, directory), run, small_config(), ROLES)
+    train(spark, listing(spark, directory), run, make_config("default"), ROLES)
     return report_tables(spark, run)["evaluation"]
 
 
 def predict_job(spark, directory):
     run, out = fresh(spark), fresh(spark)
     frame = staged(spark, directory)
-    train(spark, frame, run, small_config(), ROLES)
+    train(spark, frame, run, make_config("default"), ROLES)
     return predict(spark, f"{run}/model", frame.drop("label"), out, ROLES)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabulyst.config import TrainConfig
 from tabulyst.plans.eda import profile
 from tabulyst.plans.listing import listing
+from tabulyst.plans import queries
 from tabulyst.plans.predict import predict, predict_frame
 from tabulyst.plans.report import report_tables
 from tabulyst.plans.train import load_artifact, train
@@ -175,3 +176,17 @@ def test_holdout_labels_change_nothing_but_holdout_metrics(spark, tmp_path):
         for m in (first, second)
     ]
     assert scored[0] == pytest.approx(scored[1], rel=1e-9)
+
+
+@pytest.mark.parametrize("name", ["train_job", "predict_job"])
+def test_registered_jobs_compare_the_default_candidates(spark, monkeypatch, name):
+    given = []
+
+    def stop(spark, frame, run, config, roles):
+        given.append(config)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "train", stop)
+    with pytest.raises(InterruptedError):
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert given == [TrainConfig()]
