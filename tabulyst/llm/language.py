@@ -28,8 +28,6 @@ SAMPLE = 4_000
 NGRAM, BUCKETS, MODEL_BYTES = 3, 1 << 16, 16 << 20
 SMOOTHING = 0.5
 ROUNDS = 12
-#: Further languages a document's set may gain beside its first.
-MORE_LANGUAGES = 4
 _LETTER = regex.compile(r"\p{L}")
 #: Letters of words: ASCII letters and every byte of other scripts.
 LETTERS = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -137,7 +135,7 @@ def mixtures(likely: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     shares[filled, best[filled]] = 1
     value = whole[np.arange(n), best] - _sum_rows(top[:, 0], rows)
     open_ = filled
-    for _ in range(min(MORE_LANGUAGES, k - 1)):
+    for _ in range(k - 1):
         # Words of the rows still open, one after another.
         sizes = words[open_]
         bounds = np.concatenate(([0], np.cumsum(sizes)))

@@ -101,3 +101,11 @@ def test_toxicity_features():
     assert found["word_hits"].tolist() == [np.log(2), 0, 0, 0] and found["near_you"][0] == 25
     assert found["undone_hits"].tolist() == [0, np.log(2), 0, 0] and found["disguised_rate"][1] == 50
     assert found["capital_words"][0] == 0.25 and found["exclamation_rate"][2] == 0
+
+
+def test_a_set_of_languages_ends_by_the_penalty_alone():
+    k, each = 8, 60
+    likely = np.full((k * each, k), -20.0)
+    likely[np.arange(k * each), np.repeat(np.arange(k), each)] = -5.0
+    shares, _ = language.mixtures(likely, np.array([0, k * each]))
+    assert (shares[0] > 0).all() and abs(shares[0] - 1 / k).max() < 0.05
