@@ -1,5 +1,7 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
+from tabulyst.llm import licenses
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 DECONTAMINATE = rf"""
@@ -85,3 +87,97 @@ SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesc
        CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_copied, 0) AS BIGINT) AS n_copied
 FROM d LEFT JOIN g USING (k)
 """
+
+_WORDS = rf"""regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, unnest({_WORDS}) AS t FROM documents WHERE text IS NOT NULL),
+n AS (SELECT k, doc_id, count(*) AS n FROM d GROUP BY ALL),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+b AS (SELECT i, item_id, t, count(*) AS c FROM (
+  SELECT i, item_id, unnest({_WORDS}) AS t FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark WHERE text IS NOT NULL)) GROUP BY ALL),
+tf AS (SELECT k, t, count(*) AS tf FROM d WHERE t IN (SELECT t FROM b) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY t, docs),
+impact AS (
+  SELECT k, doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)) AS impact
+  FROM tf JOIN n USING (k), total),
+s AS (SELECT i, item_id, k, doc_id, CAST(sum(c * w * impact) AS BIGINT) AS score FROM b JOIN w USING (t) JOIN impact USING (t) GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+#: CRC-32 of a word's bytes, bit by bit: a byte is fed where its eight steps begin.
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(generate_series(0, strlen(f) - 1),
+    lambda i: [('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)))"""
+
+RESAMPLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+fd AS (SELECT k, unnest(w) AS f FROM d),
+fb AS (SELECT unnest({_WORDS}) AS f FROM benchmark),
+crc AS (SELECT f, xor({_CRC}, 4294967295) % 10000 AS bucket FROM (SELECT f FROM fd UNION SELECT f FROM fb)),
+s AS (SELECT bucket, count(*) AS s FROM fd JOIN crc USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM fb JOIN crc USING (f) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM fd) AS ss, (SELECT count(*) FROM fb) AS tt),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000)) / ((s + 1)::DOUBLE * (tt + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), sums),
+weight AS (SELECT k, CAST(sum(gain) AS BIGINT) AS weight FROM fd JOIN crc USING (f) JOIN gain USING (bucket) GROUP BY k),
+scored AS (
+  SELECT k, doc_id, len(w) AS n, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN weight USING (k)),
+ranked AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n) AS r FROM scored WHERE n >= 20)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score,
+       CASE WHEN r <= (10 * (SELECT count(*) FROM ranked)) // 100 THEN CAST(r AS BIGINT) END AS rank
+FROM scored LEFT JOIN ranked USING (k)
+"""
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in row) + ")" for row in rows)
+
+
+_PHRASES = licenses.phrases_of()
+
+LICENSES = rf"""
+WITH phrase(p, n, label) AS (VALUES {_values((i, len(x.split()), dict(licenses.BASE).get(x, '')) for i, x in enumerate(_PHRASES))}),
+phrase_word(p, place, word) AS (VALUES {_values((i, j, w) for i, x in enumerate(_PHRASES) for j, w in enumerate(x.split()))}),
+template(m, label) AS (VALUES {_values((i, x[0]) for i, x in enumerate(licenses.TEMPLATES))}),
+template_word(m, place, word) AS (VALUES {_values((i, j, w) for i, x in enumerate(licenses.TEMPLATES) for j, w in enumerate(x[1].split()))}),
+mandatory(m, p) AS (VALUES {_values((i, _PHRASES.index(p)) for i, x in enumerate(licenses.TEMPLATES) for p in x[2])}),
+d AS (SELECT row_number() OVER () AS k, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+spot AS (SELECT k, unnest(w) AS word, unnest(generate_series(0, len(w) - 1)) AS pos FROM d),
+met AS (
+  SELECT k, p, start FROM (SELECT k, p, pos - place AS start, count(*) AS c FROM spot JOIN phrase_word USING (word) GROUP BY ALL) JOIN phrase USING (p)
+  WHERE c = n),
+based AS (
+  SELECT k, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM met JOIN phrase USING (p) WHERE label <> '' GROUP BY k),
+idf AS (
+  SELECT word, CAST(floor(1000 * ln(((SELECT count(*) FROM d WHERE len(w) > 0) + 1)::DOUBLE / (count(DISTINCT k) + 1))) AS BIGINT) + 1 AS idf
+  FROM spot WHERE word IN (SELECT word FROM template_word) GROUP BY word),
+by_word AS (SELECT DISTINCT m, word, coalesce(idf, 0) AS idf FROM template_word LEFT JOIN idf USING (word)),
+whole AS (
+  SELECT m, sum(idf) AS whole FROM (SELECT *, row_number() OVER (PARTITION BY m ORDER BY idf DESC, word) AS r FROM by_word) WHERE r <= {licenses.LOOKED_UP} GROUP BY m),
+looked AS (
+  SELECT k, m, word, idf FROM (
+    SELECT *, row_number() OVER (PARTITION BY k, m ORDER BY idf DESC, word) AS r FROM (SELECT DISTINCT k, word FROM spot) JOIN by_word USING (word))
+  WHERE r <= {licenses.LOOKED_UP}),
+stands AS (
+  SELECT k, m, pos - place AS start, word, any_value(idf) AS idf
+  FROM spot JOIN looked USING (k, word) JOIN template_word USING (m, word) GROUP BY ALL),
+best AS (
+  SELECT k, m, max(idf) AS idf FROM (SELECT k, m, start, sum(idf) AS idf, count(*) AS n FROM stands GROUP BY ALL) WHERE n >= {licenses.LEAST_WORDS} GROUP BY ALL),
+share AS (SELECT k, m, least(1.0::DOUBLE, idf::DOUBLE / whole::DOUBLE) AS share FROM best JOIN whole USING (m) WHERE whole > 0),
+found AS (
+  SELECT k, m, share FROM share WHERE share * 100 >= {licenses.LEAST_SHARE}
+  AND NOT EXISTS (SELECT 1 FROM mandatory WHERE mandatory.m = share.m AND NOT EXISTS (SELECT 1 FROM met WHERE met.k = share.k AND met.p = mandatory.p))),
+scored AS (SELECT k, max(share) AS score FROM found GROUP BY k),
+named AS (
+  SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (
+    SELECT k, label FROM found JOIN template USING (m) UNION ALL SELECT k, label FROM met JOIN phrase USING (p) WHERE label <> '') GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN based USING (k) LEFT JOIN named USING (k) LEFT JOIN scored USING (k)
+"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpus_pipeline import run as run_pipeline
 from tabulyst.llm import decontaminate as leaks
-from tabulyst.llm import fingerprint, html, jaccard, language, oracles, packing, quality, secrets, spans, toxicity
+from tabulyst.llm import fingerprint, html, jaccard, language, licenses, oracles, packing, quality, ranking, resampling, secrets, spans, toxicity
 from tabulyst.llm.frames import crc_class
 
 
@@ -61,6 +61,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, sf_dir)
 
@@ -76,6 +88,9 @@ LLM_QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_license_scan": op12_license_scan,
+    "op13_importance_resampling": op13_importance_resampling,
     "pipeline": pipeline,
 }
 
@@ -83,4 +98,7 @@ LLM_ORACLES = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op4_ngram_jaccard": oracles.JACCARD,
     "op5_secret_scan": oracles.SECRETS,
+    "op11_lexical_search": oracles.SEARCH,
+    "op12_license_scan": oracles.LICENSES,
+    "op13_importance_resampling": oracles.RESAMPLE,
 }
