@@ -1 +1,8 @@
 """Training-data operators: cleaning, deduplication, scoring and packing of a text corpus."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions of these modules travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -41,6 +41,7 @@ class Stages:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{scratch_root(spark)}/llm-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+        self.paths: dict[str, list[str]] = {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """df, written and read back: cuts lineage and outlives lost executors."""
@@ -48,8 +49,16 @@ class Stages:
         df.write.parquet(path)
         system, place = hadoop_path(self.spark, path)
         system.deleteOnExit(place)
+        self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self, *names: str) -> None:
+        """Delete the tables kept under these names; only once all that reads them is written itself."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                system, place = hadoop_path(self.spark, path)
+                system.delete(place, True)
+
 
 def id_key(column: str):
     """64-bit key of an id of any type; null has a key too."""
@@ -61,22 +70,24 @@ def crc_class(column: str, modulus: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-#: Bits of a key map: 8 MB whatever the number of keys. A full map turns nothing away, so it may only
-#: save the moving of rows that an exact join drops later.
-MAP_BITS = 26
+#: A key map has about this many bits for each key, within the bounds: from 8 KB to 64 MB. Beyond that it turns fewer rows
+#: away, so it may only save less of the moving of rows that an exact join drops later.
+MAP_SPARE, MAP_LEAST, MAP_MOST = 128, 16, 29
 
 
-def key_map(keys: DataFrame) -> np.ndarray:
-    """Bit map of the leading bits of all `key`s (64-bit hashes), summed up in Spark."""
-    slots = keys.select(F.shiftrightunsigned("key", 64 - MAP_BITS).alias("slot"))
+def key_map(keys: DataFrame, n: int | None = None) -> np.ndarray:
+    """Bit map of the leading bits of all `key`s (64-bit hashes), summed up in Spark. n: the number of keys, if known."""
+    n = keys.count() if n is None else n
+    bits = min(MAP_MOST, max(MAP_LEAST, (MAP_SPARE * n).bit_length()))
+    slots = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("slot"))
     words = slots.select(F.shiftrightunsigned("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot % 64 AS INT))").alias("bit"))
+    out = np.zeros(1 << (bits - 6), np.int64)
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return out.view(np.uint8)
 
 
 def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys may be in the map."""
-    slot = keys.view(np.uint64) >> np.uint64(64 - MAP_BITS)
+    slot = keys.view(np.uint64) >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)
     return ((bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)

@@ -158,12 +158,48 @@ def test_anchors_are_brute_force():
     texts = [" ".join(draw.choice("abc") for _ in range(n)).encode() for n in (0, 49, 50, 51, 200, 3, 90)]
     offsets = np.cumsum([0, *map(len, texts)])
     words = split_words(np.frombuffer(b"".join(texts), np.uint8), offsets, ALNUM)
-    anchors, first, of = spans._windows(words, 50, 20)
+    anchors, found = spans._anchors(words, 50, 20)[1::2]
     hashes, places, low = run_hashes(words, np.arange(len(words.starts) - 19), np.arange(20, len(words.starts) + 1)), set(), []
     for head, tail in zip(words.rows[:-1].tolist(), words.rows[1:].tolist()):
         for p in range(head, tail - 49):
             least = min(hashes[p : p + 31])
             low.append((p, least))
             places.update(q for q in range(p, p + 31) if hashes[q] == least)
-    assert list(zip(first.tolist(), of)) == low
+    assert [(p, found[p]) for p, _ in low] == low
     assert anchors.tolist() == hashes[sorted(places)].tolist()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_repeated_words_are_brute_force(spark, seed):
+    """Without sentences, what goes is the union of all later windows of fifty words: passages, copies, parts and repeats inside a text."""
+    draw = random.Random(seed)
+
+    def fresh(k):
+        return [f"w{draw.randrange(10**6)}" for _ in range(k)]
+
+    pool, rows = [fresh(draw.choice([50, 51, 60, 81, 82, 120, 300])) for _ in range(8)], []
+    for d in range(60):
+        text = []
+        for _ in range(draw.choice([1, 2, 3])):
+            kind = draw.random()
+            if kind < 0.5:
+                passage = draw.choice(pool)
+                low = draw.randrange(len(passage))
+                text += passage[low : draw.randrange(low, len(passage) + 1)] if draw.random() < 0.5 else passage
+            elif kind < 0.7 and rows:
+                text += draw.choice(rows)[1].split()
+            else:
+                text += fresh(draw.randrange(80))
+        rows.append((d, " ".join((text + fresh(3)) * 2 if d % 11 == 3 else text)))
+    seen, gone = set(), {}
+    for d, text in rows:
+        words, gone[d] = text.split(), set()
+        for i in range(len(words) - spans.PASSAGE + 1):
+            key = tuple(words[i : i + spans.PASSAGE])
+            if key in seen:
+                gone[d].update(range(i, i + spans.PASSAGE))
+            seen.add(key)
+    found = spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), sentences=10**6).collect()
+    for r in found:
+        starts = [m.start() for m in re.finditer(r"\S+", rows[r["doc_id"]][1])]
+        assert {i for i, at in enumerate(starts) for low, high in r["spans"] if low <= at < high} == gone[r["doc_id"]]
