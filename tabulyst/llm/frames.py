@@ -72,7 +72,7 @@ def crc_class(column: str, modulus: int):
 
 #: A key map has about this many bits for each key, within the bounds: from 8 KB to 64 MB. Beyond that it turns fewer rows
 #: away, so it may only save less of the moving of rows that an exact join drops later.
-MAP_SPARE, MAP_LEAST, MAP_MOST = 128, 16, 29
+MAP_SPARE, MAP_LEAST, MAP_MOST = 32, 16, 29
 
 
 def key_map(keys: DataFrame, n: int | None = None) -> np.ndarray:

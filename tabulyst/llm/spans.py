@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ PASSAGE = 50
 EDGE = 4
 #: Sentences of more words are split further.
 LONG = 40
+#: Occurrences of a batch that are held before the first of each key go on.
+HELD = 1 << 20
 
 
 def _is(data: np.ndarray, values: bytes) -> np.ndarray:
@@ -182,18 +185,38 @@ def _joined(words, part: np.ndarray, maps, sentences: int, least: int, passage:
     return keys.view(np.int64), np.concatenate([first[maybe], window]), np.concatenate([after[maybe], window + passage])
 
 
+def _firsts(batch: pa.RecordBatch, order: np.ndarray, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """The first occurrence of each key among (keys, rows of the batch, first words); `order` ranks the rows."""
+    keys, row, start = (np.concatenate(x) for x in zip(*found))
+    by = np.lexsort((start, order[row], keys))
+    by = by[np.append(True, keys[by][1:] != keys[by][:-1])[: len(by)]]
+    of = pa.array(row[by])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys[by]), batch.column("doc_id").take(of), batch.column("version").take(of), pa.array(start[by])], names=["key", "doc_id", "version", "start"])
+
+
 def _occurrences(broadcast, sentences: int, least: int, passage: int):
+    """Of each batch, the first occurrence of every key that is joined."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sorted_rows = pc.sort_indices(batch.select(["doc_id", "version"]), sort_keys=[("doc_id", "ascending"), ("version", "ascending")], null_placement="at_start")
+            order = np.empty(len(batch), np.int64)
+            order[sorted_rows.to_numpy()] = np.arange(len(batch))
             data, offsets = utf8(batch.column("text"))
+            found, held = [], 0
             for low, high in chunks(offsets):
                 part, rows = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
                 words = split_words(part, rows, ALNUM)
                 keys, first, _ = _joined(words, part, broadcast.value, sentences, least, passage)
                 row = np.searchsorted(words.rows, first, "right") - 1
-                of = pa.array(row + low)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), batch.column("doc_id").take(of), batch.column("version").take(of), pa.array(first - words.rows[row])], names=["key", "doc_id", "version", "start"])
+                found.append((keys, row + low, first - words.rows[row]))
+                held += len(keys)
+                if held > HELD:
+                    yield _firsts(batch, order, found)
+                    found, held = [], 0
+            if held:
+                yield _firsts(batch, order, found)
 
     return run
 

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from tabulyst.llm import decontaminate as leaks
 from tabulyst.llm import spans
