@@ -76,10 +76,14 @@ MAP_SPARE, MAP_LEAST, MAP_MOST = 32, 16, 29
 
 
 def key_map(keys: DataFrame, n: int | None = None) -> np.ndarray:
-    """Bit map of the leading bits of all `key`s (64-bit hashes), summed up in Spark. n: the number of keys, if known."""
+    """Bit map of all `key`s (64-bit hashes), summed up in Spark: a bit by the leading half of a key, one by the other half.
+
+    n: the number of keys, if known.
+    """
     n = keys.count() if n is None else n
     bits = min(MAP_MOST, max(MAP_LEAST, (MAP_SPARE * n).bit_length()))
-    slots = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("slot"))
+    halves = F.array(F.shiftrightunsigned("key", 64 - bits), F.shiftrightunsigned(F.shiftleft("key", 32), 64 - bits))
+    slots = keys.select(F.explode(halves).alias("slot"))
     words = slots.select(F.shiftrightunsigned("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot % 64 AS INT))").alias("bit"))
     out = np.zeros(1 << (bits - 6), np.int64)
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
@@ -89,5 +93,9 @@ def key_map(keys: DataFrame, n: int | None = None) -> np.ndarray:
 
 def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys may be in the map."""
-    slot = keys.view(np.uint64) >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)
-    return ((bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    shift = np.uint64(64 - (8 * len(bits)).bit_length() + 1)
+    out = np.ones(len(keys), bool)
+    for half in (keys.view(np.uint64), keys.view(np.uint64) << np.uint64(32)):
+        slot = half >> shift
+        out &= ((bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    return out
