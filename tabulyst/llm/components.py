@@ -38,7 +38,11 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
         ends = small.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("carries")).union(
             small.select("v", F.lit(0), F.lit(1)))
         ties = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("carries").alias("carries"))
+        stages.release("least", "large", "edges")
+        stages.release("small", but_last=True)
         if ties.where(F.col("hangs") + F.col("carries") > 1).isEmpty():
             break
         edges = small
-    return stages.keep(small.select(F.col("u").alias("node"), F.col("v").alias("root")).union(small.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct(), "roots")
+    found = stages.keep(small.select(F.col("u").alias("node"), F.col("v").alias("root")).union(small.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct(), "roots")
+    stages.release("small")
+    return found

@@ -52,11 +52,12 @@ class Stages:
         self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def release(self, *names: str) -> None:
+    def release(self, *names: str, but_last: bool = False) -> None:
         """Delete the tables kept under these names; only once all that reads them is written itself."""
         for name in names:
-            for path in self.paths.pop(name, []):
-                system, place = hadoop_path(self.spark, path)
+            paths = self.paths.get(name, [])
+            while len(paths) > but_last:
+                system, place = hadoop_path(self.spark, paths.pop(0))
                 system.delete(place, True)
 
 

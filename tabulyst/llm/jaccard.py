@@ -10,9 +10,11 @@ product is counted for the pairs that are left, block of columns by block, until
 
 Scale. Equal sets collapse to one row of A before anything is paired. Columns found often while
 the texts are read go to the end of the order, so that they lead no set that has anything rarer. Pairs are
-formed in rounds: each column first pairs its rows with one pivot; rows already in one component
-are never paired again; once few pairs are left, a last round pairs, per column, what is outside its main component with all
-other components, so no link between two components is lost.
+formed in rounds: each column first pairs its rows with a few pivots; rows already in one component
+are never paired again. The last round pairs, per column, what is outside its main component with all other
+components, so no link between two components is lost. There an entry stands for the sizes of sets it can link with: from
+its own size to the greatest that its place allows. Two entries can only lead to a link if these ranges meet, so entries
+are dealt to blocks of sizes and meet only there: a column that a thousand sets share late in their order makes no pairs.
 """
 
 from __future__ import annotations
@@ -37,6 +39,10 @@ FREQUENT = 48
 FREQUENT_SHARE = 1_000_000
 #: The last round begins when it would meet this many rows for each entry, or when a round links nothing.
 REST_PAIRS = 20
+#: Pivots of each column and size class in a round.
+PIVOTS = 3
+#: Blocks of sizes in the last round, for each size class.
+SIZE_BLOCKS = 2
 #: Bounds of the blocks of columns of the product.
 BLOCKS = np.append(np.arange(8, dtype=np.uint64) << np.uint64(61), np.uint64(2**64 - 1))
 
@@ -212,30 +218,56 @@ def _size_class(column, part: int):
 
 
 def _pivot_pairs(entries: DataFrame, turn: int, part: int) -> DataFrame:
-    """Each entry with one pivot of its column and of the size class below: the least led in the
-    first turn, later one picked by hash; only entries of different components."""
-    rank = F.col("place").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    """Each entry with the pivots of its column and of the size class below: the least led in the
+    first turn, and others picked by hash; only entries of different components."""
+    def rank(i: int):
+        return F.col("place").cast("bigint") if turn + i == 0 else F.xxhash64("node", F.lit(PIVOTS * turn + i))
+
     own = entries.withColumn("class", _size_class(F.col("n"), part))
-    pivots = own.groupBy("shingle", "class").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "place", "root")).alias("p"))
-    reach = pivots.select("shingle", F.explode(F.array("class", F.col("class") + 1)).alias("class"), "p")
+    pivots = own.groupBy("shingle", "class").agg(*[F.min(F.struct(rank(i).alias("rank"), "node", "n", "place", "root")).alias(f"p{i}") for i in range(PIVOTS)])
+    chosen = F.array_distinct(F.array(*[F.struct(*[F.col(f"p{i}.{x}").alias(x) for x in ("node", "n", "place", "root")]) for i in range(PIVOTS)]))
+    reach = pivots.select("shingle", "class", F.explode(chosen).alias("p")).select("shingle", F.explode(F.array("class", F.col("class") + 1)).alias("class"), "p")
     return own.join(reach, ["shingle", "class"]).where("root <> p.root")
 
 
-def _few_left(entries: DataFrame) -> bool:
+def _by_sizes(entries: DataFrame, part: int) -> DataFrame:
+    """Entries dealt to the blocks of sizes in which they can meet a partner.
+
+    An entry of a set of n shingles can only link with one of m if m is at most `most`, and the other way round. If
+    most >= n, the entry spans the blocks of n to `most`, and meets in the greater one's block; else (`narrow`) a
+    partner spans `most`, so its block is enough, and two narrow ones never link.
+    """
+    most = F.floor((F.col("n") - F.col("place")) * F.lit(part + UNION_PART) / part + F.lit(1e-9)) - F.col("n")
+    block = lambda x: F.floor(F.log(x.cast("double")) * F.lit(SIZE_BLOCKS) / F.log(F.lit(UNION_PART / part)) + F.lit(1e-9))
+    able = entries.withColumn("most", most).where("most >= 1").withColumn("narrow", F.col("most") < F.col("n"))
+    blocks = F.when(F.col("narrow"), F.array(block(F.col("most")))).otherwise(F.sequence(block(F.col("n")), block(F.col("most"))))
+    return able.withColumn("block", F.explode(blocks))
+
+
+def _counted(dealt: DataFrame) -> DataFrame:
+    """Per column and block: entries, wide ones, and those of the main component; only where components differ."""
+    by_root = dealt.groupBy("shingle", "block", "root").agg(F.count("*").alias("m"), F.count(F.when(~F.col("narrow"), 1)).alias("w"))
+    main = by_root.groupBy("shingle", "block").agg(F.sum("m").alias("m"), F.sum("w").alias("w"), F.count("*").alias("roots"), F.max(F.struct("w", "m", "root")).alias("main"))
+    return main.where("roots > 1 and w > 0").select("shingle", "block", "m", "w", "main")
+
+
+def _few_left(counted: DataFrame, entries: DataFrame) -> bool:
     """Whether the last round would meet no more than REST_PAIRS rows for each entry."""
-    counted = entries.groupBy("shingle", "root").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.sum("m").alias("all"), F.max("m").alias("main"))
-    found = counted.agg(F.sum("all"), F.sum(F.col("all").cast("double") * (F.col("all") - F.col("main")))).first()
-    return (found[1] or 0) <= REST_PAIRS * (found[0] or 0)
+    outside, outside_wide = F.col("m") - F.col("main.m"), F.col("w") - F.col("main.w")
+    met = F.col("w").cast("double") * outside + outside_wide.cast("double") * (F.col("main.m") - F.col("main.w"))
+    return (counted.agg(F.sum(met)).first()[0] or 0) <= REST_PAIRS * entries.count()
 
 
-def _rest_pairs(entries: DataFrame, stages: Stages) -> DataFrame:
-    """Per column, every entry outside its main component with every entry of another component."""
-    counted = entries.groupBy("shingle", "root").agg(F.count("*").alias("m"))
-    main = counted.groupBy("shingle").agg(F.max(F.struct("m", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    live = stages.keep(entries.join(main.select("shingle", F.col("main.root").alias("main")), "shingle"), "live")
-    outside = live.where("root <> main").select("shingle", F.struct("node", "n", "place", "root").alias("p"))
-    pairs = live.join(outside, "shingle").where("root <> p.root")
-    return pairs.where((F.col("root") == F.col("main")) | (F.col("node") < F.col("p.node")))
+def _rest_pairs(dealt: DataFrame, counted: DataFrame, stages: Stages) -> DataFrame:
+    """Per column and block of sizes, every entry outside its main component with every entry of another component."""
+    live = dealt.join(counted.select("shingle", "block", F.col("main.root").alias("main")), ["shingle", "block"])
+    live = stages.keep(live.select("shingle", "block", "node", "n", "place", "root", "narrow", "main"), "live")
+    partner = F.struct("node", "n", "place", "root", "narrow").alias("p")
+    columns = ["shingle", "block", "node", "n", "place", "root"]
+    wide = live.where("not narrow").join(live.where("root <> main").select("shingle", "block", partner), ["shingle", "block"])
+    wide = wide.where("root <> p.root and (root = main or p.narrow or node < p.node)")
+    narrow = live.where("narrow and root = main").join(live.where("root <> main and not narrow").select("shingle", "block", partner), ["shingle", "block"])
+    return wide.select(*columns, "p").union(narrow.select(*columns, "p"))
 
 
 def _named(pairs: DataFrame) -> DataFrame:
@@ -255,10 +287,9 @@ def _plausible(counted: DataFrame, part: int) -> DataFrame:
     return counted.where(F.col("c") + F.greatest(*behind) >= _least_overlap(F.col("n_a"), F.col("n_b"), part)).select("a", "b")
 
 
-def _candidates(joined: DataFrame, entries: DataFrame, stages: Stages, part: int) -> DataFrame:
+def _candidates(joined: DataFrame, leading: DataFrame, stages: Stages, part: int) -> DataFrame:
     """Plausible pairs of the bounded ones, by the overlap of their leading columns."""
     pairs = stages.keep(_named(_bounded(joined, part)).distinct(), "bounded")
-    leading = stages.keep(entries.groupBy("node").agg(F.collect_set("shingle").alias("own")), "leading")
     both = pairs.join(leading.select(F.col("node").alias("a"), F.col("own").alias("xs")), "a")
     both = both.join(leading.select(F.col("node").alias("b"), F.col("own").alias("ys")), "b")
     return _plausible(both.withColumn("c", F.size(F.array_intersect("xs", "ys"))), part)
@@ -280,26 +311,34 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = plain.mapInArrow(_name_sets(shingle), f"doc_id {kind}, kind tinyint, key bigint, node bigint, n bigint")
     read = stages.keep(named, "named")
     rows = read.where("kind = 0").select("doc_id", "key", "node", "n")
+    # One row for each set, however many documents have it.
+    nodes = stages.keep(rows.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.min("doc_id").alias("least")), "nodes")
 
     entries = _entries(plain, read, shingle, stages, part)
+    leading = stages.keep(entries.groupBy("node").agg(F.collect_set("shingle").alias("own")), "leading")
     roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
     turn, last, linked = 0, False, True
     while not last:
-        last = turn > 0 and (not linked or _few_left(entries))
-        joined = _rest_pairs(entries, stages) if last else _pivot_pairs(entries, turn, part)
-        pairs = stages.keep(_candidates(joined, entries, stages, part), "pairs")
+        if turn:
+            dealt = _by_sizes(entries, part)
+            counted = stages.keep(_counted(dealt), "counted")
+            last = not linked or _few_left(counted, entries)
+        joined = _rest_pairs(dealt, counted, stages) if last else _pivot_pairs(entries, turn, part)
+        pairs = stages.keep(_candidates(joined, leading, stages, part), "pairs")
         turn += 1
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = key_map(rows.where("n > 0").join(nodes, "node").groupBy("node").agg(F.min("key").alias("key")))
+        found = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = key_map(nodes.join(found, "node").select("key"), 2 * pairs.count())
         sets = plain.select("key", "text").mapInArrow(_whole(context.broadcast(wanted), shingle), "node bigint, shingles array<bigint>")
         links = stages.keep(_links(pairs, sets.groupBy("node").agg(F.first("shingles").alias("shingles")), part), "links")
         linked = not links.isEmpty()
         if linked:
             roots = components(links.union(roots.where("node <> root").toDF("a", "b")), stages)
-            entries = stages.keep(
-                entries.drop("root").join(roots, "node", "left").select("shingle", "node", "n", "place", F.coalesce("root", "node").alias("root")),
-                "entries")
-    return _answer(rows, roots, stages)
+            if not last:
+                placed = entries.drop("root").join(roots, "node", "left").select("shingle", "node", "n", "place", F.coalesce("root", "node").alias("root"))
+                entries = stages.keep(placed, "entries")
+        stages.release("bounded", "pairs", "links", "counted", "live")
+        stages.release("entries", "roots", but_last=True)
+    return _answer(rows, nodes, roots, stages)
 
 
 def _entries(plain: DataFrame, read: DataFrame, shingle: int, stages: Stages, part: int) -> DataFrame:
@@ -317,11 +356,13 @@ def _entries(plain: DataFrame, read: DataFrame, shingle: int, stages: Stages, pa
     return stages.keep(live.select("shingle", "node", "n", "place", F.col("node").alias("root")), "entries")
 
 
-def _answer(rows: DataFrame, roots: DataFrame, stages: Stages) -> DataFrame:
-    placed = stages.keep(
-        rows.where("n > 0").join(roots, "node", "left").select("doc_id", "n", F.coalesce("root", "node").alias("root")), "placed")
-    least = stages.keep(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    linked = placed.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+def _answer(rows: DataFrame, nodes: DataFrame, roots: DataFrame, stages: Stages) -> DataFrame:
+    """Each document with its set's component; sets are joined with components before documents are with sets."""
+    placed = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    placed = stages.keep(placed, "placed")
+    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = stages.keep(placed.join(least, "root").select("node", "component_id"), "components")
+    linked = rows.where("n > 0").join(of, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.union(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
