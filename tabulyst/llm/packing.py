@@ -3,10 +3,11 @@
 Documents become token ids and an end id; longer ones are cut into full sequences and one shorter
 first piece, which needs no packing beyond that. The shorter pieces are dealt into blocks of bounded
 size. In a block they are first placed by best fit; then, while there are more bins than the
-block's tokens need, the emptiest underfull bins are emptied by local search: moves, one-for-one
+block's tokens need, underfull bins are emptied by local search, the emptiest first: moves, one-for-one
 exchanges and exchanges of two pieces for one, each of which makes a fuller bin fuller and so raises
-the sum of squared fills. What lies in a block's poorly filled bins is packed again together with
-that of other blocks, until one block is left.
+the sum of squared fills. A bin that no step improves is set aside until another one changes what is possible; the search
+ends when no underfull bin improves. What lies in a block's poorly filled bins is dealt to new blocks and packed again,
+until one block is left or a turn saves less than one sequence a block.
 """
 
 from __future__ import annotations
@@ -175,14 +176,25 @@ class Bins:
         return False
 
     def search(self) -> None:
-        """Empty the emptiest bins while fewer bins could hold all; every step raises the squared fill."""
+        """Empty underfull bins, the emptiest first, while fewer bins could hold all; every step raises the squared fill.
+
+        A bin without a step is set aside. Bins are tried again as long as a whole round of them empties one.
+        """
         least = -(-int(self.sizes.sum()) // self.capacity)
-        while int((self.fill > 0).sum()) > least:
-            source = int(np.argmin(np.where(self.fill > 0, self.fill, self.capacity + 1)))
-            while self.fill[source] > 0 and self._improve(source):
-                pass
-            if self.fill[source] > 0:
-                return
+        used = int((self.fill > 0).sum())
+        while used > least:
+            before, aside = used, self.fill >= WELL_FILLED * self.capacity
+            while used > least:
+                open_ = np.where((self.fill > 0) & ~aside, self.fill, self.capacity + 1)
+                source = int(np.argmin(open_))
+                if open_[source] > self.capacity:
+                    break
+                while self.fill[source] > 0 and self._improve(source):
+                    pass
+                aside[source] = True
+                used = int((self.fill > 0).sum())
+            if used == before:
+                break
 
 
 def _pack_block(sequence: int):
@@ -209,7 +221,7 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """Pieces (length, key and more columns) with sequence_id and offset; no sequence exceeds `sequence` tokens.
 
     Equal lengths are told apart by `key`; an empty table gives an empty result. A piece as long as a
-    sequence gets one of its own without a shuffle.
+    sequence gets one of its own without a shuffle. Further columns go along, if their names aren't those of the result.
     """
     stages = Stages(pieces.sparkSession)
     pieces = stages.keep(pieces, "pieces")
@@ -223,12 +235,14 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
         dealt = open_.withColumns(place | {"block": F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(blocks)), "filled": F.lit(0).cast("bigint")})
         packed = dealt.groupBy("block").applyInArrow(_pack_block(sequence), dealt.select(*pieces.columns, "block", "sequence_id", "offset", "filled").schema)
         packed = stages.keep(packed, "packed").withColumn("sequence_id", F.col("sequence_id") + F.col("block") * (1 << 32) + F.lit(turn) * (1 << 56))
-        if blocks == 1 or before is not None and n > before // 2:
+        well = F.col("filled") >= int(WELL_FILLED * sequence)
+        # A piece at the start of its sequence stands for the sequence.
+        used, left = packed.where("offset = 0").agg(F.count("*"), F.count(F.when(~well, 1))).first()
+        if blocks == 1 or not left or before is not None and before - used < blocks:
             done.append(packed.select(*names))
             break
-        well = F.col("filled") >= int(WELL_FILLED * sequence)
         done.append(packed.where(well).select(*names))
-        open_, turn, before = packed.where(~well).select(*pieces.columns), turn + 1, n
+        open_, turn, before = packed.where(~well).select(*pieces.columns), turn + 1, left
     out = done[0]
     for more in done[1:]:
         out = out.union(more)

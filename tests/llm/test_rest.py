@@ -159,6 +159,14 @@ def test_local_search_raises_the_squared_fill():
         bins.search()
         assert int((bins.fill**2).sum()) >= before and int((bins.fill > 0).sum()) <= used
         assert (np.bincount(bins.bin, sizes, len(bins.fill)) == bins.fill).all() and bins.fill.max() <= 2048
+    for low, high, most in ((500, 1000, 0.97), (400, 1100, 0.99), (300, 1400, 1.0)):
+        sizes = draw.integers(low, high, 4000)
+        bins = packing.Bins(sizes, 2048)
+        best_fit, least = int((bins.fill > 0).sum()), -(-int(sizes.sum()) // 2048)
+        bins.search()
+        used = int((bins.fill > 0).sum())
+        # Of the sequences that best fit leaves over the bound, the search saves a part.
+        assert least <= used < best_fit and used <= most * best_fit
     # Best fit leaves three bins; one exchange makes them two.
     bins = packing.Bins(np.array([6, 5, 5, 4]), 10)
     assert (bins.fill > 0).sum() == 2
