@@ -27,7 +27,8 @@ SAMPLE = 4_000
 #: Bytes of an n-gram, and n-gram buckets at most; with many languages fewer, for MODEL_BYTES in all.
 NGRAM, BUCKETS, MODEL_BYTES = 3, 1 << 16, 16 << 20
 SMOOTHING = 0.5
-ROUNDS = 12
+#: Rounds of expectation and maximisation go on until no share changes by more.
+TOLERANCE = 1e-3
 _LETTER = regex.compile(r"\p{L}")
 #: Letters of words: ASCII letters and every byte of other scripts.
 LETTERS = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -176,12 +177,14 @@ def mixtures(likely: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _maximise(part: np.ndarray, share: np.ndarray, own: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Shares after ROUNDS of expectation (each word's languages) and maximisation (their mean)."""
+    """Shares after rounds of expectation (each word's languages) and maximisation (their mean), until none changes by TOLERANCE."""
     sizes = np.maximum(np.diff(bounds), 1)[:, None]
-    for _ in range(ROUNDS):
+    changed = np.inf
+    while changed > TOLERANCE:
         joint = part * share[own]
         joint /= np.maximum(joint.sum(1, keepdims=True), 1e-300)
-        share = _sum_rows(joint, bounds) / sizes
+        before, share = share, _sum_rows(joint, bounds) / sizes
+        changed = np.abs(share - before).max(initial=0.0)
     return share
 
 

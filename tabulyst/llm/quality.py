@@ -15,9 +15,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import FMClassifier
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tabulyst.llm.frames import Stages, pick
 from tabulyst.llm.labelled import sample
@@ -25,8 +26,8 @@ from tabulyst.llm.textbytes import ALNUM, NONSPACE, chunks, split_words, utf8
 
 #: Labelled documents at most, by label.
 SAMPLE = {1: 8_000, 0: 8_000}
-#: Buckets of hashed words, factors, rounds and step of the fit.
-BUCKETS, FACTORS, ROUNDS, STEP = 1 << 13, 8, 80, 0.05
+#: Buckets of hashed words, factors, rounds, step and regularisation of the fit.
+BUCKETS, FACTORS, ROUNDS, STEP, REGULAR = 1 << 13, 8, 80, 0.05, 1e-2
 THRESHOLD = 0.3
 BINS = 8
 _CLASSES = {
@@ -130,10 +131,12 @@ def _mapped(df: DataFrame, schema: str, make, kept: list[str]) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _lists(found) -> dict[str, pa.Array]:
+def _vectors(found) -> dict[str, pa.Array]:
+    """Sparse vectors as the struct that Spark stores them in: kind 0, size, indices, values."""
     starts, index, values = found
-    starts = pa.array(starts.astype(np.int32))
-    return {"index": pa.ListArray.from_arrays(starts, pa.array(index.astype(np.int32))), "value": pa.ListArray.from_arrays(starts, pa.array(values))}
+    starts, n = pa.array(starts.astype(np.int32)), len(starts) - 1
+    lists = [pa.ListArray.from_arrays(starts, pa.array(x)) for x in (index.astype(np.int32), values)]
+    return {"x": pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, SIZE, np.int32)), *lists], names=["type", "size", "indices", "values"])}
 
 
 def _plain(docs: DataFrame, doc_id: str, text: str, length: str | None) -> DataFrame:
@@ -150,15 +153,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int
     """
     stages = Stages(docs.sparkSession)
     rows = sample(_plain(docs, doc_id, text, length), labels, label, modulus, held_out, bounds, more=("declared",))
-    rows = rows.select("label", "weight", "text", "declared")
-    found = _mapped(rows, "label int, weight double, index array<int>, value array<double>", _lists, ["label", "weight"])
+    # The sample is written by as many tasks as read the corpus; what follows is as bounded as the sample.
+    rows = stages.keep(rows.select(F.col("label").cast("double").alias("label"), "weight", "text", "declared"), "sample")
+    found = _mapped(rows, StructType([*rows.schema.fields[:2], StructField("x", VectorUDT())]), _vectors, ["label", "weight"])
     found = stages.keep(found.coalesce(4), "features")
     seen = {r["label"]: (r["n"], r["w"]) for r in found.groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
     if set(seen) != {0, 1}:
         return Model(1.0 if 1 in seen else 0.0, None, None)
-    vector = F.udf(lambda i, v: Vectors.sparse(SIZE, i, v), VectorUDT())
-    machine = FMClassifier(featuresCol="x", labelCol="label", factorSize=FACTORS, maxIter=ROUNDS, stepSize=STEP, regParam=1e-3, initStd=0.05, seed=7)
-    fitted = machine.fit(found.select(F.col("label").cast("double").alias("label"), vector("index", "value").alias("x")))
+    machine = FMClassifier(featuresCol="x", labelCol="label", factorSize=FACTORS, maxIter=ROUNDS, stepSize=STEP, regParam=REGULAR, initStd=0.05, seed=7)
+    fitted = machine.fit(found)
     shift = np.log(seen[1][1] / seen[0][1]) - np.log(seen[1][0] / seen[0][0])
     return Model(float(fitted.intercept), fitted.linear.toArray(), fitted.factors.toArray(), float(shift))
 

@@ -1,10 +1,13 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A lexicon of words and of letter n-grams inside words is learned from one part of the labelled
-documents, by the log odds of their document frequencies. Dense features of a text follow: lexicon
-densities and counts, hits near second-person words, capitals, punctuation, obfuscated spellings and
-their hits once undone. A second part fits the trees, a third the isotonic calibration, so no part
-judges what it taught. Scoring reads each text once; nothing is shuffled.
+A lexicon of words and of letter n-grams inside words is learned from labelled documents, by how much more of the toxic
+ones hold an entry than of the others. Dense features of a text follow: lexicon densities and counts, hits near
+second-person words, capitals, punctuation, obfuscated spellings and their hits once undone. Gradient-boosted trees judge
+them, and an isotonic calibration turns margins into rates.
+
+Everything is cross-fitted, so that all labels teach all three and no document is judged by what it taught: the labelled documents
+are dealt into folds; each fold's features come from the lexicon of the others, each fold's margins for the calibration
+from trees of the others. The last lexicon and trees see all folds. Scoring reads each text once; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -24,11 +27,11 @@ from tabulyst.llm.frames import Stages, pick
 from tabulyst.llm.labelled import sample
 from tabulyst.llm.textbytes import ALNUM, LOWER, NONSPACE, HashSet, Words, chunks, mix, split_words, utf8
 
-#: Labelled documents at most, by label; the parts for lexicon and trees, the rest calibrates.
+#: Labelled documents at most, by label. They bound the lexicon too, which holds entries of several toxic ones.
 SAMPLE = {1: 6_000, 0: 14_000}
-LEXICON_PART, TREES_PART = 0.4, 0.8
-#: Least toxic documents and least z of the log odds of an entry; entries at most, best first.
-LEAST_DOCUMENTS, LEAST_Z, ENTRIES = 3, 3.5, 50_000
+FOLDS = 3
+#: Least toxic documents and least z (signed root of the likelihood ratio) of an entry.
+LEAST_DOCUMENTS, LEAST_Z = 3, 3.5
 GRAM, NEAR = 6, 5
 TREES, DEPTH, STEP = 60, 4, 0.15
 THRESHOLD = 0.3
@@ -105,20 +108,29 @@ def learn_lexicon(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def counted(part: DataFrame, known: HashSet | None) -> DataFrame:
         return part.select("text").mapInArrow(_document_counts(known), "entry bigint, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
 
-    often = counted(rows.where("label = 1"), None).where(F.col("n") >= LEAST_DOCUMENTS).orderBy(F.desc("n"), "entry").limit(20 * ENTRIES).toArrow()
+    often = counted(rows.where("label = 1"), None).where(F.col("n") >= LEAST_DOCUMENTS).toArrow()
     entry, pos = often.column("entry").to_numpy().view(np.uint64), often.column("n").to_numpy().astype(float)
     order = np.argsort(entry)
     entry, pos = entry[order], pos[order]
     seen = counted(rows.where("label = 0"), HashSet(entry)).toArrow()
     neg = np.zeros(len(entry))
     neg[np.searchsorted(entry, seen.column("entry").to_numpy().view(np.uint64))] = seen.column("n").to_numpy()
-    odds = np.log((pos + 0.5) / (toxic + 1)) - np.log((neg + 0.5) / (clean + 1))
-    z = odds / np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
-    best = np.flatnonzero(z >= LEAST_Z)
-    best = np.sort(best[np.argsort(-z[best], kind="stable")[:ENTRIES]])
+    z = _signed_root(pos, toxic, neg, clean)
+    best = z >= LEAST_Z
     return entry[best], z[best]
 
 
+def _signed_root(pos: np.ndarray, toxic: int, neg: np.ndarray, clean: int) -> np.ndarray:
+    """Signed root of the likelihood ratio of two rates against one common rate; right for small counts too."""
+    def information(hits, n, rate):
+        miss = n - hits
+        return hits * np.log(np.maximum(rate, 1e-300)) + miss * np.log(np.maximum(1 - rate, 1e-300))
+
+    common = (pos + neg) / (toxic + clean)
+    gained = information(pos, toxic, pos / toxic) + information(neg, clean, neg / clean) - information(pos, toxic, common) - information(neg, clean, common)
+    return np.sign(pos / toxic - neg / clean) * np.sqrt(np.maximum(2 * gained, 0))
+
+
 @dataclass
 class Lexicon:
     known: HashSet
@@ -227,24 +239,36 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, held_out: int = 2, bounds: dict[int, int] = SAMPLE) -> Model:
     """Learn from labelled documents whose crc32 of the id modulo `modulus` is not `held_out`."""
     stages = Stages(docs.sparkSession)
-    rows = stages.keep(sample(docs, labels, label, modulus, held_out, bounds), "sample")
-    lexicon = learn_lexicon(rows.where(F.col("draw") < LEXICON_PART))
-    rest = rows.where(F.col("draw") >= LEXICON_PART).select("text", F.col("label").cast("double").alias("label"), "weight", "draw")
-    known = stages.keep(_with_features(rest, lexicon, "text").withColumn("x", array_to_vector("features")).drop("features").coalesce(4), "features")
-    train, check = known.where(F.col("draw") < TREES_PART), known.where(F.col("draw") >= TREES_PART)
+    rows = sample(docs, labels, label, modulus, held_out, bounds).withColumn("fold", F.floor(F.col("draw") * FOLDS).cast("int"))
+    rows = stages.keep(rows.select("text", F.col("label").cast("double").alias("label"), "weight", "fold"), "sample")
     rate = rows.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).first()[0]
-    if train.select("label").distinct().count() < 2 or check.isEmpty():
+    lexicon, known = learn_lexicon(rows), None
+    for fold in range(FOLDS):
+        own = _with_features(rows.where(F.col("fold") == fold), learn_lexicon(rows.where(F.col("fold") != fold)), "text")
+        known = own if known is None else known.union(own)
+    # As bounded as the sample; four tasks fit it.
+    known = stages.keep(known.withColumn("x", array_to_vector("features")).drop("features").coalesce(4), "features")
+    both = known.groupBy("fold").agg(F.countDistinct("label").alias("n")).where("n = 2").count()
+    if both < FOLDS:
         return Model(lexicon, None, None, float(rate or 0.0))
-    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, subsamplingRate=0.8, seed=7, maxBins=64, minInstancesPerNode=5).fit(train)
-    scored = trees.transform(check).select(vector_to_array("probability")[1].alias("margin"), "label", "weight")
-    return Model(lexicon, trees, IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(scored), float(rate))
+    margins = None
+    for fold in range(FOLDS):
+        own = _trees(known.where(F.col("fold") != fold)).transform(known.where(F.col("fold") == fold))
+        margins = own if margins is None else margins.union(own)
+    margins = margins.select(vector_to_array("probability")[1].alias("margin"), "label", "weight")
+    calibration = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(margins)
+    return Model(lexicon, _trees(known), calibration, float(rate))
+
+
+def _trees(known: DataFrame):
+    return GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, subsamplingRate=0.8, seed=7, maxBins=64, minInstancesPerNode=5).fit(known)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, score (0 to 1), predicted (1 from `threshold` on).
 
     Null texts count as empty ones and are scored too. Repeated rows are each scored. Extra columns are ignored.
-    Without labels of both classes every score is the labels' rate.
+    Without labels of both classes in every fold every score is the labels' rate.
     """
     rows = _with_features(pick(docs, {"doc_id": doc_id, "text": text}), model.lexicon, "text")
     if model.trees is None:
