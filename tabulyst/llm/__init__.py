@@ -1,8 +1,5 @@
-"""Training-data operators: cleaning, deduplication, scoring and packing of a text corpus."""
+"""Training-data operators: cleaning, deduplication, scoring and packing of a text corpus.
 
-import sys
-
-from pyspark import cloudpickle
-
-# Task functions of these modules travel by value, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+Task functions refer to these modules by name, as they share tables that are too large to send with each task: install the
+package on the executors, or pass it with --py-files.
+"""
