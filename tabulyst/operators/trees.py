@@ -1,10 +1,12 @@
-"""Tree families on MLlib: a bagged forest and three boosting settings."""
+"""Tree families: a bagged forest over a binned design, and three boosting settings of MLlib."""
 
 from __future__ import annotations
 
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 
-MAX_DEPTH = 30  # fixed value: deepest tree MLlib grows
+from .forest import Forest
+
+MAX_DEPTH = 30  # deepest tree of the forest
 # Depth and row sampling of the boosted families (2^5 leaves stand for 31 leaves).
 BOOSTED = {
     "gbt_shallow": {"maxDepth": 3, "subsamplingRate": 0.8},
@@ -12,14 +14,11 @@ BOOSTED = {
     "gbt_deep": {"maxDepth": 6},
 }
 LEARNING_RATE = 0.05
-BINS = 255  # cut points per column; an option of both functions
+BINS = 255  # cut points per column of the boosted families
 
 
-def forest(seed: int, trees: int, min_leaf: int = 2, depth: int = MAX_DEPTH, bins: int = BINS) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        numTrees=trees, minInstancesPerNode=min_leaf, featureSubsetStrategy="all", maxDepth=depth,
-        maxBins=bins, seed=seed,
-    )
+def forest(seed: int, trees: int, min_leaf: int = 2, depth: int = MAX_DEPTH) -> Forest:
+    return Forest(seed, trees, min_leaf, depth)
 
 
 def boosted(family: str, seed: int, trees: int, bins: int = BINS, **options) -> GBTRegressor:
