@@ -50,10 +50,18 @@ def same_path(spark: SparkSession, left: str, right: str) -> bool:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a stage to the shared folder and read it back; dropped when the session ends."""
+    """Write a stage to the shared folder and read it back; dropped when the session ends, or by discard()."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/tabulyst-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     system, jvm_path = hadoop_path(spark, path)
     system.deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a materialized stage, once nothing reads it any more."""
+    system, jvm_path = hadoop_path(df.sparkSession, df.written_to)
+    system.delete(jvm_path, True)
