@@ -1,7 +1,8 @@
-"""Linear families on MLlib, with penalties given on the scale of the usual closed forms."""
+"""Linear families, from sufficient statistics and on MLlib, with penalties on the scale of the usual closed forms."""
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Task functions travel by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -150,16 +151,51 @@ def solve(found: Moments, settings: list[tuple[float, float]], tolerance: float
 
 def penalties(family: str, rows: int, alpha: float | None = None, l1_ratio: float = 0.5) -> tuple[float, float]:
     """(l1, l2) of a family's setting, as the single fits take them."""
+    if family == "linear":
+        return 0.0, 0.0
     if family == "ridge":
         return 0.0, (10.0 if alpha is None else alpha) / rows
     alpha = 0.001 if alpha is None else alpha
     return (alpha, 0.0) if family == "lasso" else (alpha * l1_ratio, alpha * (1.0 - l1_ratio))
 
 
+def _dot(features: str, weights: np.ndarray, start: float) -> Column:
+    products = F.zip_with(vector_to_array(features), F.lit([float(v) for v in weights]), lambda a, b: a * b)
+    return F.aggregate(products, F.lit(float(start)), lambda total, v: total + v)
+
+
 def predictions(found: Moments, weights: np.ndarray, features: str = "features") -> Column:
     """Array of predictions, one for each row of weights."""
     own = weights * found.scales
-    starts = found.label - own @ found.means
-    x = vector_to_array(features)
-    dot = lambda w, b: F.aggregate(F.zip_with(x, F.lit([float(v) for v in w]), lambda a, c: a * c), F.lit(float(b)), lambda s, v: s + v)
-    return F.array(*[dot(w, b) for w, b in zip(own, starts)])
+    return F.array(*[_dot(features, w, b) for w, b in zip(own, found.label - own @ found.means)])
+
+
+class LinearModel:
+    """Weights of the columns and an intercept, solved from moments."""
+
+    def __init__(self, coefficients: np.ndarray, intercept: float):
+        self.coefficients, self.intercept, self.column = coefficients, intercept, "prediction"
+
+    @classmethod
+    def solved(cls, found: Moments, l1: float, l2: float) -> LinearModel:
+        weights = solve(found, [(l1, l2)])[0] * found.scales
+        return cls(weights, float(found.label - weights @ found.means))
+
+    def setPredictionCol(self, name: str) -> LinearModel:
+        self.column = name
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.column, _dot("features", self.coefficients, self.intercept))
+
+    def write(self) -> LinearModel:
+        return self
+
+    def save(self, path: str) -> None:
+        state = json.dumps({"coefficients": self.coefficients.tolist(), "intercept": self.intercept})
+        SparkSession.getActiveSession().createDataFrame([(state,)], "value string").coalesce(1).write.text(path)
+
+    @classmethod
+    def load(cls, path: str) -> LinearModel:
+        state = json.loads(SparkSession.getActiveSession().read.text(path, wholetext=True).first()["value"])
+        return cls(np.array(state["coefficients"], float), state["intercept"])

@@ -161,6 +161,103 @@ SPEARMAN_RANKS = """r AS (SELECT feature,
   FROM long)"""
 SPEARMAN = "SELECT feature, COUNT(*) AS rows, round(corr(rx, ry), 8) AS spearman FROM r GROUP BY feature"
 
+# --- fits ----------------------------------------------------------------------------------------
+
+INNER_FOLDS = 3
+#: Sweeps of the descent; far more than it needs to settle.
+SWEEPS = 300
+DERIVED = {
+    "TotalSF": "size_a + size_b + size_c", "TotalBath": "full_cnt + 0.5 * half_cnt", "AgeAtSale": "year_sold - year_built",
+}
+
+
+def linear_fit(l1: float, l2_rows: float, l2: float = 0.0, onehot: bool = False, log: bool = True, extended: bool = False) -> str:
+    """Prices of a penalised linear fit on the whole design: products in SQL, then elimination, or descent if there is an l1.
+
+    The squared part of the penalty is l2 + l2_rows / rows.
+    """
+    y = "ln(1 + label)" if log else "label"
+    numeric = {**{c: c for c in NUMERIC}, **DERIVED}
+    ctes = [FILLED]
+    source = "filled"
+    if extended:
+        ctes.append("size_med AS (SELECT grp, quantile_cont(size_a + size_b + size_c, 0.5) AS m FROM filled GROUP BY grp)")
+        ctes.append("""sized AS (SELECT f.*, CASE WHEN m > 0 THEN (size_a + size_b + size_c) / m END AS rel,
+  quality * (size_a + size_b + size_c) AS inter FROM filled f JOIN size_med USING (grp))""")
+        ctes.append("full_sized AS (SELECT * EXCLUDE (rel), coalesce(rel, quantile_cont(rel, 0.5) OVER ()) AS rel FROM sized)")
+        numeric |= {"rel": "rel", "inter": "inter"}
+        source = "full_sized"
+    names = [f"x{i}" for i in range(len(numeric))]
+    columns = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in zip(names, numeric.values()))
+    ctes.append(f"base AS (SELECT id, {y} AS y, {hash32('id', f'inner:{SEED}')} % {INNER_FOLDS} AS f, {columns}, {', '.join(CATEGORICAL)} FROM {source})")
+    if onehot:
+        marks = [f"CASE WHEN {c} = '{k}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS c_{c}_{i}" for c in CATEGORICAL for i, k in enumerate(CATEGORIES[c])]
+        names += [m.rsplit(" ", 1)[1] for m in marks]
+        ctes += [f"design AS MATERIALIZED (SELECT id, y, {', '.join([*names[:len(numeric)], *marks])} FROM base)", "asked AS (SELECT * FROM design)"]
+    else:
+        for c in CATEGORICAL:
+            ctes.append(f"""full_{c} AS (SELECT {c}, (sum(y) + 10 * (SELECT avg(y) FROM base)) / (COUNT(*) + 10) AS v FROM base GROUP BY {c})""")
+            ctes.append(f"""out_{c} AS (SELECT t.f, k.{c}, (coalesce(sum(b.y), 0) + 10 * any_value(t.p)) / (COUNT(b.y) + 10) AS v
+  FROM (SELECT m.f, avg(b.y) AS p FROM range({INNER_FOLDS}) m(f) JOIN base b ON b.f <> m.f GROUP BY m.f) t
+  CROSS JOIN (SELECT DISTINCT {c} FROM base) k LEFT JOIN base b ON b.f <> t.f AND b.{c} = k.{c} GROUP BY t.f, k.{c})""")
+        own = ", ".join(f"out_{c}.v AS c_{c}" for c in CATEGORICAL)
+        joins = " ".join(f"JOIN out_{c} ON out_{c}.f = b.f AND out_{c}.{c} = b.{c}" for c in CATEGORICAL)
+        ctes.append(f"design AS MATERIALIZED (SELECT id, y, {', '.join(names)}, {own} FROM base b {joins})")
+        own = ", ".join(f"full_{c}.v AS c_{c}" for c in CATEGORICAL)
+        joins = " ".join(f"JOIN full_{c} ON full_{c}.{c} = b.{c}" for c in CATEGORICAL)
+        ctes.append(f"asked AS (SELECT id, {', '.join(names)}, {own} FROM base b {joins})")
+        names += [f"c_{c}" for c in CATEGORICAL]
+    k = len(names)
+    ctes.append("mean AS MATERIALIZED (SELECT COUNT(*) AS n, avg(y) AS y0, " + ", ".join(
+        f"avg({x}) AS m{i}, 1 / stddev_pop({x}) AS s{i}" for i, x in enumerate(names)) + " FROM design)")
+    ctes.append("z AS (SELECT y - y0 AS y, n, " + ", ".join(f"({x} - m{i}) * s{i} AS z{i}" for i, x in enumerate(names)) + " FROM design CROSS JOIN mean)")
+    ctes.append("prod AS MATERIALIZED (SELECT any_value(n) AS n, " + ", ".join(
+        [f"sum(z{i} * z{j}) / any_value(n) AS g{i}_{j}" for i in range(k) for j in range(i, k)] + [f"sum(z{i} * y) / any_value(n) AS b{i}" for i in range(k)]) + " FROM z)")
+    g = lambda i, j: f"g{min(i, j)}_{max(i, j)}"
+    if l1:
+        rows = ", ".join("[" + ", ".join(g(i, j) for j in range(k)) + "]" for i in range(k))
+        ctes.append(f"""descent AS (SELECT 0 AS step, [{rows}] AS g, [{', '.join(['0.0::DOUBLE'] * k)}] AS w, [{', '.join(f'b{j}' for j in range(k))}] AS r,
+    {l2} + {l2_rows} / n AS l2 FROM prod
+  UNION ALL SELECT step + 1, g, list_transform(w, lambda v, i: CASE WHEN i = j THEN new ELSE v END),
+    list_transform(r, lambda v, i: v - g[i][j] * (new - w[j])), l2
+  FROM (SELECT *, sign(pull) * greatest(abs(pull) - {l1}, 0) / (g[j][j] + l2) AS new
+    FROM (SELECT *, r[j] + g[j][j] * w[j] AS pull FROM (SELECT *, step % {k} + 1 AS j FROM descent WHERE step < {SWEEPS * k}))))""")
+        ctes.append(f"w AS (SELECT w FROM descent WHERE step = {SWEEPS * k})")
+    else:
+        rows = ", ".join("[" + ", ".join([g(i, j) + (f" + {l2} + {l2_rows} / n" if i == j else "") for j in range(k)] + [f"b{i}"]) + "]" for i in range(k))
+        ctes.append(f"""steps AS (SELECT 0 AS j, [{rows}] AS m FROM prod
+  UNION ALL SELECT j + 1, CASE WHEN abs(m[j + 1][j + 1]) < 1e-9 THEN list_transform(m, lambda r, i: CASE WHEN i = j + 1 THEN list_transform(r, lambda v: 0.0::DOUBLE) ELSE r END)
+    ELSE list_transform(m, lambda r, i: CASE WHEN i = j + 1 THEN list_transform(r, lambda v: v / r[j + 1])
+      ELSE list_transform(r, lambda v, c: v - r[j + 1] * m[j + 1][c] / m[j + 1][j + 1]) END) END
+  FROM steps WHERE j < {k})""")
+        ctes.append(f"w AS (SELECT list_transform(m, lambda r: r[{k + 1}]) AS w FROM steps WHERE j = {k})")
+    value = "y0 + " + " + ".join(f"w[{i + 1}] * s{i} * ({x} - m{i})" for i, x in enumerate(names))
+    price = f"exp({value}) - 1" if log else value
+    return "WITH RECURSIVE" + over_listing(*ctes, select=f"SELECT id, round(greatest({price}, 0.0), -2) AS price FROM asked CROSS JOIN mean CROSS JOIN w")[4:]
+
+
+def planted_fit(shrink: str = "") -> str:
+    """Prices of a label of known splits, as it is, or after `shrink` (SQL on the log label y, its mean and sum of squares)."""
+    label = "100000.0::DOUBLE + CASE WHEN quality > 3 THEN 40000 ELSE 0 END + CASE WHEN year_sold >= 1995 THEN 10000 ELSE 0 END"
+    if not shrink:
+        return over_listing(select=f"SELECT id, round({label}, 2) AS price FROM listing")
+    return over_listing(
+        f"p AS (SELECT id, ln(1 + {label}) AS y FROM listing)", "s AS (SELECT avg(y) AS y0, sum(y * y) - COUNT(*) * avg(y) * avg(y) AS ss FROM p)",
+        select=f"SELECT id, round(exp({shrink}) - 1, 2) AS price FROM p CROSS JOIN s")
+
+
+FITS = {
+    "ridge_fit": linear_fit(0, 10.0),
+    "onehot_ols_fit": linear_fit(0, 0, onehot=True, log=False),
+    "lasso_fit": linear_fit(0.001, 0),
+    "elasticnet_fit": linear_fit(0.0005, 0, 0.0005),
+    "ridge_extended_fit": linear_fit(0, 10.0, extended=True),
+    **{f"{name}_fit": planted_fit() for name in ("forest", "gbt_shallow", "gbt_mid", "gbt_deep", "voting", "weighted")},
+    # Both bases give the label itself; a ridge of one on two equal columns gives each the weight ss / (2 ss + 1).
+    "stacking_fit": planted_fit("y0 + (2 * ss / (2 * ss + 1)) * (y - y0)"),
+}
+
+
 ORACLES = {
     "dedup_rows": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem",
     "dedup_first": "SELECT l_linenumber, l_returnflag, l_linestatus, min(l_orderkey) AS position FROM lineitem GROUP BY ALL",
@@ -288,8 +385,4 @@ ORACLES = {
         "h AS (SELECT CAST('0x' || substr(md5(concat_ws(chr(31), " + ", ".join(
             f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in COLUMNS) + ")), 1, 15) AS BIGINT) AS h FROM listing)",
         select="SELECT COUNT(*) AS rows, bit_xor(h) AS xor_hash, CAST(sum(h) AS VARCHAR) AS sum_hash FROM h"),
-} | {
-    f"{name}_fit": over_listing(select="SELECT id, TRUE AS priced, TRUE AS closer FROM listing")
-    for name in ("ridge", "onehot_ols", "lasso", "elasticnet", "ridge_extended", "forest", "gbt_shallow", "gbt_mid",
-                 "gbt_deep", "voting", "weighted", "stacking")
-}
+} | FITS

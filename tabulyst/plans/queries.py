@@ -392,29 +392,31 @@ def stability_count(spark, directory):
     return stable_features(passed.where("run < 5"))
 
 
-# --- fits and jobs (no SQL counterpart) ----------------------------------------------------------
+# --- fits and jobs ----------------------------------------------------------
 
 
 def fitted_prices(family: str, **options):
-    """Fit and price every row with the family's own defaults: (id, priced, closer).
-
-    `priced`: the prediction is finite and not negative. `closer`: on the target's scale the whole fit's
-    squared error is below that of the best constant.
-    """
+    """Fit with the family's own defaults and price every row: (id, price), rounded to hundreds."""
 
     def query(spark, directory):
         frame = staged(spark, directory)
         model = PriceModel(ROLES, family, **options).fit(frame)
-        scored = materialize(model.predict(frame).select("id", "label", "prediction"))
-        scale = F.log1p if model.target_transform == "log" else col
-        found = scored.agg(
-            F.avg(F.pow(scale("label") - scale("prediction"), 2)).alias("error"), F.var_pop(scale("label")).alias("constant")
-        ).first()
-        price = F.col("prediction")
-        return scored.select(
-            "id", F.coalesce((price >= 0) & (price < float("inf")), F.lit(False)).alias("priced"),
-            F.lit(found["error"] < found["constant"]).alias("closer"),
-        )
+        return model.predict(frame).select("id", F.round("prediction", -2).alias("price"))
+
+    return query
+
+
+#: A label of known splits, for families of trees: two columns, one cut each.
+PLANTED = "100000.0D + CASE WHEN quality > 3 THEN 40000 ELSE 0 END + CASE WHEN year_sold >= 1995 THEN 10000 ELSE 0 END"
+
+
+def planted_prices(family: str, **options):
+    """Fit a label of known splits with the family's own defaults and price every row: (id, price)."""
+
+    def query(spark, directory):
+        frame = materialize(listing(spark, directory).withColumn("label", F.expr(PLANTED)))
+        model = PriceModel(ROLES, family, **options).fit(frame)
+        return model.predict(frame).select("id", F.round("prediction", 2).alias("price"))
 
     return query
 
@@ -491,13 +493,13 @@ QUERIES = {
     "lasso_fit": fitted_prices("lasso"),
     "elasticnet_fit": fitted_prices("elasticnet"),
     "ridge_extended_fit": fitted_prices("ridge", feature_set="extended"),
-    "forest_fit": fitted_prices("random_forest"),
-    "gbt_shallow_fit": fitted_prices("gbt_shallow"),
-    "gbt_mid_fit": fitted_prices("gbt_mid"),
-    "gbt_deep_fit": fitted_prices("gbt_deep"),
-    "voting_fit": fitted_prices("voting"),
-    "weighted_fit": fitted_prices("weighted"),
-    "stacking_fit": fitted_prices("stacking"),
+    "forest_fit": planted_prices("random_forest"),
+    "gbt_shallow_fit": planted_prices("gbt_shallow"),
+    "gbt_mid_fit": planted_prices("gbt_mid"),
+    "gbt_deep_fit": planted_prices("gbt_deep"),
+    "voting_fit": planted_prices("voting"),
+    "weighted_fit": planted_prices("weighted"),
+    "stacking_fit": planted_prices("stacking"),
     "boruta_select": selected_by("boruta"),
     "eda_job": eda_job,
     "train_job": train_job,
