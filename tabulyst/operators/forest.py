@@ -379,6 +379,13 @@ class ForestModel:
             out[r["col"]] = r["share"]
         return out / out.sum() if out.sum() else out
 
+    def gains(self) -> np.ndarray:
+        """Error that the splits of each column remove, mean over the trees."""
+        out = np.zeros(len(self.cuts))
+        for r in self.nodes.where("col >= 0").groupBy("col").agg(F.sum("gain").alias("gain")).collect():
+            out[r["col"]] = r["gain"] / self.trees
+        return out
+
     def _broadcasts(self) -> list:
         """Trees in blocks of at most MODEL_BYTES; they are put together from their subtrees in Spark."""
         if self._blocks is None:

@@ -501,6 +501,9 @@ QUERIES = {
     "weighted_fit": planted_prices("weighted"),
     "stacking_fit": planted_prices("stacking"),
     "boruta_select": selected_by("boruta"),
+    "null95_select": selected_by("null95"),
+    "null80_select": selected_by("null80"),
+    "stable_null_select": selected_by("stable_null"),
     "eda_job": eda_job,
     "train_job": train_job,
     "predict_job": predict_job,
