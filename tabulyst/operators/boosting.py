@@ -34,6 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WRITE_TREES = 8
 #: Rows summed at once as doubles, which hold whole numbers of up to 53 bits; bits of a residual; bits of a whole sum.
 SUM_ROWS, VALUE_BITS, SUM_BITS = 1 << 14, 38, 61
+#: Least rows of a task: a pass lasts as long as its tasks start, so a few rows are not dealt to many.
+TASK_ROWS = 1 << 17
 LEAVES, DEPTH, MIN_LEAF = 31, 6, 20
 
 #: From the shape so far and the numbers of its open leaves to their sums (leaf, (rows, residual), cell).
@@ -322,7 +324,8 @@ def fit_boosted(rows: DataFrame, cuts: list[np.ndarray], trees: int, rate: float
     grown = 0
     if cuts and seen["high"] > seen["low"]:
         unit = _unit(spread, bits)
-        state = materialize(rows.select((y - F.lit(start)).alias("residual"), "codes"))
+        tasks = -(-seen["n"] // TASK_ROWS)
+        state = materialize(rows.select((y - F.lit(start)).alias("residual"), "codes").coalesce(tasks))
         done: list = []
 
         at_once = max(1, HISTOGRAM_BYTES // (16 * cells.count))
@@ -331,7 +334,7 @@ def fit_boosted(rows: DataFrame, cuts: list[np.ndarray], trees: int, rate: float
             if len(leaves) > at_once:
                 return np.concatenate([fill(shape, leaves[i : i + at_once]) for i in range(0, len(leaves), at_once)])
             known = spark.sparkContext.broadcast((done, rate, shape, np.array(leaves, np.int64), unit))
-            found = state.mapInArrow(_sum_cells(known, cells), "cell bigint, n bigint, m bigint")
+            found = state.coalesce(tasks).mapInArrow(_sum_cells(known, cells), "cell bigint, n bigint, m bigint")
             table = found.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).toArrow()
             sums = np.zeros((2, len(leaves) * cells.count), np.int64)
             sums[:, table.column("cell").to_numpy()] = [table.column(x).to_numpy() for x in ("n", "m")]
@@ -353,7 +356,7 @@ def fit_boosted(rows: DataFrame, cuts: list[np.ndarray], trees: int, rate: float
             done.append((shape, values))
             if len(done) == write_trees and grown < trees:
                 known = spark.sparkContext.broadcast((done, rate))
-                after = materialize(state.mapInArrow(_write_residuals(known, len(cuts)), "residual double, codes binary"))
+                after = materialize(state.coalesce(tasks).mapInArrow(_write_residuals(known, len(cuts)), "residual double, codes binary"))
                 discard(state)
                 state, done = after, []
         discard(state)

@@ -1,16 +1,17 @@
-"""Tree families: a bagged forest over a binned design, and three boosting settings of MLlib."""
+"""Tree families: a bagged forest and boosted trees over a binned design, and two boosting settings of MLlib."""
 
 from __future__ import annotations
 
 from pyspark.ml.regression import GBTRegressor
 
-from .forest import Forest
+from .boosting import DEPTH, LEAVES, Boosted
+from .forest import CODES, Forest
 
 MAX_DEPTH = 30  # deepest tree of the forest
-# Depth and row sampling of the boosted families (2^5 leaves stand for 31 leaves).
+# Depth, leaves and row sampling of the boosted families.
 BOOSTED = {
     "gbt_shallow": {"maxDepth": 3, "subsamplingRate": 0.8},
-    "gbt_mid": {"maxDepth": 5},
+    "gbt_mid": {"grow": "leafwise", "leaves": LEAVES},
     "gbt_deep": {"maxDepth": 6},
 }
 LEARNING_RATE = 0.05
@@ -21,6 +22,13 @@ def forest(seed: int, trees: int, min_leaf: int = 2, depth: int = MAX_DEPTH) ->
     return Forest(seed, trees, min_leaf, depth)
 
 
-def boosted(family: str, seed: int, trees: int, bins: int = BINS, **options) -> GBTRegressor:
+def boosted(family: str, seed: int, trees: int, **options) -> GBTRegressor | Boosted:
+    """The family's estimator; with `grow` (leafwise or symmetric) one over exact histograms, else MLlib's depth-wise one."""
     settings = {"stepSize": LEARNING_RATE, **BOOSTED[family], **options}
-    return GBTRegressor(maxIter=trees, seed=seed, maxBins=bins, **settings)
+    grow = settings.pop("grow", None)
+    if grow is None:
+        return GBTRegressor(maxIter=trees, seed=seed, maxBins=BINS, **settings)
+    rate = settings.pop("stepSize")
+    if grow == "symmetric":
+        settings["depth"] = settings.pop("maxDepth", DEPTH)
+    return Boosted(trees, rate, CODES, grow, **settings)

@@ -252,7 +252,9 @@ FITS = {
     "lasso_fit": linear_fit(0.001, 0),
     "elasticnet_fit": linear_fit(0.0005, 0, 0.0005),
     "ridge_extended_fit": linear_fit(0, 10.0, extended=True),
-    **{f"{name}_fit": planted_fit() for name in ("forest", "gbt_shallow", "gbt_mid", "gbt_deep", "voting", "weighted")},
+    **{f"{name}_fit": planted_fit() for name in ("forest", "gbt_shallow", "gbt_deep", "voting", "weighted")},
+    # Every tree parts the same groups, so each leaves 0.95 of the residuals of the one before.
+    **{f"{name}_fit": planted_fit("y0 + (1 - pow(0.95, 200)) * (y - y0)") for name in ("gbt_mid", "gbt_symmetric")},
     # Both bases give the label itself; a ridge of one on two equal columns gives each the weight ss / (2 ss + 1).
     "stacking_fit": planted_fit("y0 + (2 * ss / (2 * ss + 1)) * (y - y0)"),
 }

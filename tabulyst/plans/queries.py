@@ -497,6 +497,7 @@ QUERIES = {
     "gbt_shallow_fit": planted_prices("gbt_shallow"),
     "gbt_mid_fit": planted_prices("gbt_mid"),
     "gbt_deep_fit": planted_prices("gbt_deep"),
+    "gbt_symmetric_fit": planted_prices("gbt_deep", params={"grow": "symmetric"}),
     "voting_fit": planted_prices("voting"),
     "weighted_fit": planted_prices("weighted"),
     "stacking_fit": planted_prices("stacking"),

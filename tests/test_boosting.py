@@ -145,8 +145,9 @@ def test_boosting_is_brute_force(spark, table, grow, options, tree, tmp_path):
 
 
 @pytest.mark.parametrize("grow", ["leafwise", "symmetric"])
-def test_order_of_rows_is_no_matter(spark, table, grow):
+def test_order_of_rows_is_no_matter(spark, table, grow, monkeypatch):
     rows = table[2]
+    monkeypatch.setattr(boosting, "TASK_ROWS", 40)
     models = [fit_boosted(df, CUTS, 3, 0.1, grow, write_trees=2, min_leaf=2) for df in (rows.repartition(1), rows.orderBy(F.rand(3)).repartition(13))]
     one, two = (sorted(map(tuple, m.nodes.collect())) for m in models)
     assert one == two and len(one) > 9 and models[0].start == models[1].start

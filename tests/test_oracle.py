@@ -7,7 +7,7 @@ from compare import connect, difference
 
 DIRECTORY = "/root/testdata/sf0.001"
 #: Fits of hundreds of trees take minutes each; `python tests/compare.py DIR NAME` compares them.
-LONG_FITS = {"gbt_mid_fit", "gbt_deep_fit", "voting_fit", "weighted_fit", "stacking_fit"}
+LONG_FITS = {"gbt_mid_fit", "gbt_deep_fit", "gbt_symmetric_fit", "voting_fit", "weighted_fit", "stacking_fit"}
 
 
 @pytest.fixture(scope="module")
