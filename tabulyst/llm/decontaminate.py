@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulyst.llm.frames import pick
+from tabulyst.llm.frames import bounded_batches, pick
 from tabulyst.llm.textbytes import ALNUM, HashSet, chunks, split_words, utf8, windows
 
 WINDOW = 10
@@ -63,13 +63,13 @@ def _blocks(benchmark: DataFrame, window: int) -> Iterator[WindowSet]:
         yield WindowSet([(r["item"], r["text"]) for r in block.where("text IS NOT NULL").distinct().collect()], window)
 
 
-def _scan(broadcast, final: bool):
+def _scan(broadcast, text: str):
     """Pass over all texts for one block: adds its items and hit runs of words to what earlier blocks found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: WindowSet = broadcast.value
         for batch in batches:
-            data, offsets = utf8(batch.column("_text"))
+            data, offsets = utf8(batch.column(text))
             n_words, items, runs, spans = [], [], [], []
             before_items, before_runs = (batch.column(x).to_pylist() for x in ("_items", "_runs"))
             for low, high in chunks(offsets):
@@ -91,7 +91,7 @@ def _scan(broadcast, final: bool):
                     bounds = np.flatnonzero(np.diff(np.concatenate(([0], own.view(np.int8), [0])))).reshape(-1, 2) if own.any() else ()
                     runs.append([[int(s), int(e)] for s, e in bounds])
                     base = int(offsets[low + row] - at)
-                    spans.append([[int(words.starts[start + s]) - base, int(words.ends[start + e - 1]) - base] for s, e in bounds] if final else [])
+                    spans.append([[int(words.starts[start + s]) - base, int(words.ends[start + e - 1]) - base] for s, e in bounds])
                     n_words.append(end - start)
                 items += [sorted(x) for x in found]
             pairs = pa.list_(pa.list_(pa.int64()))
@@ -104,16 +104,15 @@ def _scan(broadcast, final: bool):
 
 def _marked(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, window: int) -> DataFrame:
     """docs with columns c0.. by place, plus _items, _runs, _n_words and _spans (byte ranges)."""
-    spark = docs.sparkSession
-    place = docs.columns.index(text)
+    spark, place = docs.sparkSession, f"c{docs.columns.index(text)}"
+    bounded_batches(spark)
     frame = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).withColumns({
-        "_text": F.col(f"c{place}"),
         "_items": F.lit(None).cast("array<string>"), "_runs": F.lit(None).cast("array<array<bigint>>"),
         "_n_words": F.lit(0).cast("bigint"), "_spans": F.lit(None).cast("array<array<bigint>>"),
     })
     tests = pick(benchmark, {"item": item, "text": item_text}).withColumn("item", F.col("item").cast("string"))
     for known in _blocks(tests, window):
-        frame = frame.mapInArrow(_scan(spark.sparkContext.broadcast(known), True), frame.schema)
+        frame = frame.mapInArrow(_scan(spark.sparkContext.broadcast(known), place), frame.schema)
     return frame
 
 
@@ -132,6 +131,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     )
 
 
+def _without_hits(broadcast, text: str):
+    """Pass over all texts for one block: rows without any of its windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: WindowSet = broadcast.value
+        for batch in batches:
+            data, offsets = utf8(batch.column(text))
+            clean = np.ones(len(batch), bool)
+            for low, high in chunks(offsets):
+                at = offsets[low]
+                words = split_words(data[at : offsets[high]], offsets[low : high + 1] - at, ALNUM)
+                hit = [word for word, _, _ in known.hits(words)]
+                clean[low + np.searchsorted(words.rows, np.array(hit, np.int64), "right") - 1] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
     for value, ranges in zip(texts.to_pylist(), spans.to_pylist()):
@@ -153,10 +170,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     names, place = docs.columns, docs.columns.index(text)
-    marked = _marked(docs, benchmark, text, item, item_text, window)
     kept = [f"c{i}" for i in range(len(names))]
     if remove == "documents":
-        return marked.where(F.size("_runs") <= 0).select(*kept).toDF(*names)
+        frame, context = docs.toDF(*kept), docs.sparkSession.sparkContext
+        bounded_batches(docs.sparkSession)
+        for known in _blocks(pick(benchmark, {"item": item, "text": item_text}).withColumn("item", F.col("item").cast("string")), window):
+            frame = frame.mapInArrow(_without_hits(context.broadcast(known), f"c{place}"), frame.schema)
+        return frame.toDF(*names)
+    marked = _marked(docs, benchmark, text, item, item_text, window)
 
     def run(batches):
         for batch in batches:

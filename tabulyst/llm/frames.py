@@ -35,6 +35,19 @@ def replaced(df: DataFrame, name: str, make) -> DataFrame:
     return plain.withColumn(f"c{df.columns.index(name)}", make(column).cast(kind)).toDF(*df.columns)
 
 
+#: Bytes of rows that move to Python at a time, where the session doesn't say; Spark's own default is 64 MB or 10,000 rows.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let batches of whole texts end by bytes, so that memory beside the heap doesn't grow with texts and columns.
+
+    Sets the session's `spark.sql.execution.arrow.maxBytesPerBatch` unless it is set; a longer text is a batch alone.
+    """
+    if "spark.sql.execution.arrow.maxBytesPerBatch" not in spark.conf.getAll:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 class Stages:
     """Written tables of one operator call, in the folder that the cluster shares."""
 

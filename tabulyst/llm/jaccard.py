@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulyst.llm.components import components
-from tabulyst.llm.frames import Stages, id_key, in_map, key_map, pick
+from tabulyst.llm.frames import Stages, bounded_batches, id_key, in_map, key_map, pick
 from tabulyst.llm.textbytes import NONSPACE, HashSet, Words, chunks, mix, split_words, utf8, windows
 
 SHINGLE = 4
@@ -306,6 +306,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not 0 < part < UNION_PART:
         raise ValueError(f"part is a whole number from 1 to {UNION_PART - 1}; it was {part!r}")
     stages, context = Stages(docs.sparkSession), docs.sparkSession.sparkContext
+    bounded_batches(docs.sparkSession)
     plain = pick(docs, {"doc_id": doc_id, "text": text}).withColumn("key", id_key("doc_id"))
     kind = plain.schema["doc_id"].dataType.simpleString()
     named = plain.mapInArrow(_name_sets(shingle), f"doc_id {kind}, kind tinyint, key bigint, node bigint, n bigint")

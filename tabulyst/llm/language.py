@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulyst.llm.frames import crc_class, id_key, pick
+from tabulyst.llm.frames import bounded_batches, crc_class, id_key, pick
 from tabulyst.llm.textbytes import LOWER, chunks, utf8
 
 UNKNOWN = "und"
@@ -188,21 +188,19 @@ def _maximise(part: np.ndarray, share: np.ndarray, own: np.ndarray, bounds: np.n
     return share
 
 
-def _predict(broadcast):
+def _predict(broadcast, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = broadcast.value
         for batch in batches:
-            data, offsets = utf8(batch.column("_text"))
+            data, offsets = utf8(batch.column(text))
             names, scores, sets = [], [], []
             for low, high in chunks(offsets):
                 at = offsets[low]
                 found = predict_chunk(model, data[at : offsets[high]], offsets[low : high + 1] - at)
                 for out, values in zip((names, scores, sets), found):
                     out += values
-            kept = [x for x in batch.schema.names if x not in ("_text", "_lang", "_score", "_mixture")]
-            columns = [batch.column(x) for x in kept]
-            columns += [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.map_(pa.string(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "_lang", "_score", "_mixture"])
+            columns = batch.columns + [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.map_(pa.string(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_lang", "_score", "_mixture"])
 
     return run
 
@@ -231,10 +229,10 @@ def predict_chunk(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[
 def _labelled(docs: DataFrame, model: Model, text: str) -> DataFrame:
     """docs as c0.. by place with _lang, _score and _mixture."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    plain = plain.withColumn("_text", F.col(f"c{docs.columns.index(text)}"))
-    fields = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in plain.schema if x.name != "_text")
+    fields = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in plain.schema)
+    bounded_batches(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(model)
-    return plain.mapInArrow(_predict(known), f"{fields}, _lang string, _score double, _mixture map<string,double>")
+    return plain.mapInArrow(_predict(known, f"c{docs.columns.index(text)}"), f"{fields}, _lang string, _score double, _mixture map<string,double>")
 
 
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

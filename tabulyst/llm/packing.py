@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulyst.llm.frames import Stages, pick
+from tabulyst.llm.frames import Stages, bounded_batches, pick
 
 SEQUENCE = 2048
 END = 0
@@ -67,6 +67,7 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", se
 
     A null or empty text is one piece that holds the end id alone. `key` tells rows of equal doc_id apart.
     """
+    bounded_batches(docs.sparkSession)
     plain = pick(docs, {"doc_id": doc_id, "text": text})
     kind = plain.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, key bigint" + ", ids array<bigint>" * keep_ids
