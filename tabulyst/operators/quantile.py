@@ -1,9 +1,9 @@
 """Exact linear-interpolated quantiles of many columns, in total or by group.
 
 Small inputs use `percentile`, whose buffer holds every distinct value of a group. Larger ones are
-narrowed first: equal values collapse to (value, count), approximate cuts split what is left, and
-only the slots that hold the wanted ranks go on, until each group is small. Both give the same rows: one
-for every group, null keys included, and a null value where a group has none.
+narrowed first: sketches of the raw rows, merged from all tasks, bracket each wanted rank, and only the values in
+the brackets move, as (value, count). What is still large is split by approximate cuts until each group is small.
+Both give the same rows: one for every group, null keys included, and a null value where a group has none.
 """
 
 from __future__ import annotations
@@ -69,32 +69,13 @@ def _direct(values, columns, probs, by):
 def _narrowed(values, columns, probs, by, limit):
     # Groups are one struct: its equality takes null keys as equal, in grouping and in joins.
     group = F.struct(*map(col, by)) if by else F.struct(F.lit(0).alias("_all"))
-    values = values.select(group.alias("g"), *map(col, columns))
+    plain = values.select(group.alias("g"), *[col(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    targets = materialize(_targets(plain, columns, probs))
     wanted = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob")) for c in columns for p in probs])
-    seen = values.select("g").distinct() if by else values.sparkSession.range(1).select(group.alias("g"))
+    seen = targets.select("g").distinct() if by else values.sparkSession.range(1).select(group.alias("g"))
     asked = seen.select("g", F.inline(wanted))
-    keys = ["g", "column"]
-    group = [*keys, "prob"]
-    cells = materialize(
-        values.unpivot("g", list(map(col, columns)), "column", "v")
-        .where(F.col("v").isNotNull())
-        .groupBy(*keys, "v")
-        .agg(F.count("*").alias("c"))
-    )
-    rank = F.col("prob") * (F.col("n") - 1)
-    targets = materialize(
-        cells.groupBy(*keys)
-        .agg(F.sum("c").alias("n"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .select(
-            *group,
-            rank.alias("rank"),
-            F.floor(rank).alias("first"),
-            F.ceil(rank).alias("last"),
-            F.lit(0).cast("bigint").alias("below"),
-        )
-    )
-    band = cells.join(targets, keys)
+    group = ["g", "column", "prob"]
+    band = materialize(_bracketed(plain, targets, len(columns)))
     while (band.groupBy(*group).agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] or 0) > limit:
         band = _slots_of_the_ranks(band, group)
     running = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -109,6 +90,65 @@ def _narrowed(values, columns, probs, by, limit):
     return asked.join(found, group, "left").select(*(["g.*"] if by else []), "column", "prob", "value")
 
 
+def _targets(plain, columns, probs):
+    """A row for each group, column and prob: count, wanted ranks, and bounds `lo`, `hi` of the values there.
+
+    A sketch that tasks merge gives the bounds, at twice its error to both sides; a pass of counters checks them against
+    the ranks. Bounds that miss a rank, and those of groups no larger than the sketch, are null: all values count.
+    """
+    margin = 2.0 / CUT_ACCURACY
+    marks = F.array(*[F.lit(min(1.0, max(0.0, p + side))) for p in probs for side in (-margin, margin)])
+    sketches = [
+        F.percentile_approx(F.nanvl(f"v{i}", F.lit(float("inf"))), marks, F.lit(CUT_ACCURACY)).alias(f"m{i}")
+        for i in range(len(columns))
+    ]
+    sketched = plain.groupBy("g").agg(*sketches, *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))])
+    places = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
+
+    def bound(i, j, side):
+        within = probs[j] + margin < 1 if side else probs[j] > margin
+        return F.when((F.col(f"n{i}") > CUT_ACCURACY) & F.lit(within), F.get(f"m{i}", F.lit(2 * j + side)))
+
+    bounds = [bound(i, j, side).alias(f"{name}{i}_{j}") for i, j in places for side, name in enumerate(("lo", "hi"))]
+    edges = materialize(sketched.select("g", *[f"n{i}" for i in range(len(columns))], *bounds))
+    counters = []
+    for i, j in places:
+        value, low, high = F.col(f"v{i}"), F.col(f"lo{i}_{j}"), F.col(f"hi{i}_{j}")
+        counters += [F.count_if(value < low).alias(f"b{i}_{j}"), F.count_if(_inside(value, low, high)).alias(f"k{i}_{j}")]
+    counted = edges.join(plain.join(edges, "g").groupBy("g").agg(*counters), "g")
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"), F.lit(columns[i]).alias("column"), F.lit(float(probs[j])).alias("prob"), F.col(f"n{i}").alias("n"),
+            *[F.col(f"{x}{i}_{j}").alias(x) for x in ("lo", "hi", "b", "k")],
+        )
+        for i, j in places
+    ]
+    rank = F.col("prob") * (F.col("n") - 1)
+    ranked = counted.select("g", F.inline(F.array(*cells))).select(
+        "*", rank.alias("rank"), F.floor(rank).alias("first"), F.ceil(rank).alias("last"))
+    held = (F.col("b") <= F.col("first")) & (F.col("b") + F.col("k") > F.col("last"))
+    return ranked.select(
+        "g", "i", "column", "prob", "rank", "first", "last",
+        F.when(held, F.col("lo")).alias("lo"), F.when(held, F.col("hi")).alias("hi"),
+        F.when(held, F.col("b")).otherwise(0).alias("below"),
+    )
+
+
+def _inside(value, low, high):
+    return value.isNotNull() & F.coalesce(value >= low, F.lit(True)) & F.coalesce(value <= high, F.lit(True))
+
+
+def _bracketed(plain, targets, width):
+    """(value, count) of what lies between the bounds of a target: nothing else is moved."""
+    of_group = targets.groupBy("g").agg(F.collect_list(F.struct("i", "column", "prob", "lo", "hi")).alias("bounds"))
+    values = F.array(*[F.col(f"v{i}") for i in range(width)])
+    found = F.transform("bounds", lambda b: F.struct(
+        b["column"].alias("column"), b["prob"].alias("prob"), F.get(values, b["i"]).alias("v"), b["lo"].alias("lo"), b["hi"].alias("hi")))
+    near = plain.join(of_group, "g").select("g", F.inline(F.filter(found, lambda x: _inside(x["v"], x["lo"], x["hi"]))))
+    collapsed = near.groupBy("g", "column", "prob", "v").agg(F.count("*").alias("c"))
+    return collapsed.join(targets.drop("i", "lo", "hi"), ["g", "column", "prob"])
+
+
 def _slots_of_the_ranks(band, group):
     """Only the values of the slots, between approximate cuts, that hold a wanted rank."""
     steps = F.array(*[F.lit(i / SLOTS) for i in range(1, SLOTS)])
