@@ -35,8 +35,10 @@ def profile(
             label.withColumn("log1p_label", F.log1p("label")), ["label", "log1p_label"]
         ),
     }
+    # A column's most frequent categories come first.
+    orders = {"category_counts": ("feature", F.desc("rows"), "category")}
     for name, table in tables.items():
-        write_table(table, output, name)
+        write_table(table, output, name, orders.get(name, ()))
     target = row_dict(numeric_summary(label, ["label"]).drop("column"))
     write_json(spark, {**summary, "target": roles.label, "target_summary": target}, f"{output}/summary.json")
     return {name: spark.read.parquet(f"{output}/{name}") for name in tables}

@@ -11,6 +11,7 @@ from tabulyst.operators.profile import (
     category_counts, correlation_p_value, histogram, missing_profile, numeric_summary, pearson_matrix,
     spearman_target,
 )
+from tabulyst.sources.sinks import write_table
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +75,15 @@ def test_tables(df, frame):
     assert [r["rows"] for r in bins] == np.histogram(frame.y, 30)[0].tolist()
     flat = histogram(df, ["same"]).agg(F.sum("rows"), F.count("*")).first()
     assert list(flat) == [400, 30]
+
+
+def test_written_counts_descend(spark, tmp_path):
+    rows = [(f"k{i % 13}", f"t{i % 3}") for i in range(200)] + [(None, None)] * 30
+    counts = category_counts(spark.createDataFrame(rows, "a string, b string").repartition(4), ["a", "b"])
+    write_table(counts, str(tmp_path), "counts", ("feature", F.desc("rows"), "category"))
+    files = sorted((tmp_path / "counts").glob("part-*.parquet"))
+    read = pd.concat([pd.read_parquet(f) for f in files], ignore_index=True)
+    pd.testing.assert_frame_equal(
+        read, read.sort_values(["feature", "rows", "category"], ascending=[True, False, True], ignore_index=True))
+    assert len(read) == 14 + 4 and read["rows"].sum() == 2 * len(rows)
+    assert read.iloc[0].tolist() == ["a", "Missing", 30]
