@@ -37,6 +37,7 @@ SUM_ROWS, VALUE_BITS, SUM_BITS = 1 << 14, 38, 61
 #: Least rows of a task: a pass lasts as long as its tasks start, so a few rows are not dealt to many.
 TASK_ROWS = 1 << 17
 LEAVES, DEPTH, MIN_LEAF = 31, 6, 20
+_LESS = (1 << 30) - 1
 
 #: From the shape so far and the numbers of its open leaves to their sums (leaf, (rows, residual), cell).
 Fill = Callable[[object, Sequence[int]], np.ndarray]
@@ -68,7 +69,11 @@ def _gains(low: np.ndarray, whole: tuple[int, int], min_leaf: int) -> np.ndarray
     """How far each cell's split lowers the squared error; 0 where a side has too few rows."""
     n, m = whole
     rows, rest = low[0].astype(float), (n - low[0]).astype(float)
-    apart = low[1] * rest - (m - low[1]) * rows
+    # Products of whole sums pass 53 bits on large tables; rounded, a node of equal residuals would seem to have splits. So
+    # left residual * n - residual * left rows is taken in two parts of 30 bits, which hold it exactly.
+    high = (low[1] >> 30) * n - (m >> 30) * low[0]
+    less = (low[1] & _LESS) * n - (m & _LESS) * low[0]
+    apart = (high + (less >> 30)).astype(float) * 2.0**30 + (less & _LESS)
     able = (low[0] >= max(min_leaf, 1)) & (n - low[0] >= max(min_leaf, 1))
     return np.where(able, apart * apart / np.where(able, rows * rest * max(n, 1), 1.0), 0.0)
 

@@ -171,3 +171,15 @@ def test_repeated_rows_weigh_as_often_as_they_stand(spark, table):
     one, two = fit_boosted(rows, CUTS, 2, 0.1, min_leaf=2), fit_boosted(rows.union(rows), CUTS, 2, 0.1, min_leaf=4)
     shape = ["tree", "node", "col", "code", "first"]
     assert sorted(map(tuple, one.nodes.select(*shape).collect())) == sorted(map(tuple, two.nodes.select(*shape).collect()))
+
+
+def test_equal_residuals_have_no_split_however_large_their_sums():
+    rows = np.array([3_000_001, 1_234_567, 8_999_999, 1, 4_765_433], np.int64)
+    for residual in (-123_456_789_123, 98_765_432_109):
+        n = int(rows.sum())
+        low = np.stack([rows.cumsum(), rows.cumsum() * residual])
+        assert (boosting._gains(low, (n, n * residual), 1) == 0).all()
+        low[1, 2:] += 1
+        found = boosting._gains(low, (n, n * residual + 1), 1)
+        exact = [(int(b) * n - (n * residual + 1) * int(a)) ** 2 / (int(a) * (n - int(a)) * n) if a < n else 0 for a, b in low.T]
+        assert found == pytest.approx(exact, rel=1e-12) and found.max() > 0
