@@ -122,3 +122,40 @@ def test_shadows_confirm_what_matters(spark):
     assert selector.support[0] and selector.support[2] and not selector.fallback
     assert sum(selector.support) <= 2 + 3
     assert selector.details["ranking"][0] == selector.details["ranking"][2] == 1
+
+
+def shallow(spark, monkeypatch, dealt_rows, label=None):
+    draw = np.random.default_rng(5)
+    x = draw.integers(0, 40, (3000, 3)).astype(float)
+    y = x[:, 0] + 5.0 * (x[:, 1] > 17) + draw.normal(size=3000) + 1000 if label is None else label(x)
+    frame = pd.DataFrame({"_id": range(3000), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "label": y})
+    design = assemble(spark.createDataFrame(frame), ["a", "b", "c"]).select("_id", "features", "label")
+    monkeypatch.setattr(forest, "DEALT_ROWS", dealt_rows)
+    return design, forest.Forest(3, 6, 2, 5).fit(design)
+
+
+def test_shallow_trees_by_histograms_are_those_of_dealt_rows(spark, monkeypatch):
+    design, dealt = shallow(spark, monkeypatch, 1 << 16)
+    _, filled = shallow(spark, monkeypatch, 10)
+    assert filled.gains() == pytest.approx(dealt.gains(), rel=1e-9)
+    price = [{r["_id"]: r["prediction"] for r in m.transform(design).collect()} for m in (dealt, filled)]
+    assert price[0] == pytest.approx(price[1], rel=1e-9)
+    # No row was dealt: every node is one of the top.
+    assert filled.nodes.where("root >= 0").count() == 0 and dealt.nodes.where("root >= 0").count() > 0
+
+
+def test_nodes_without_a_split_are_not_dealt(spark, monkeypatch):
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 100)
+    draw = np.random.default_rng(6)
+    x = draw.integers(0, 40, (3000, 2)).astype(float)
+    frame = pd.DataFrame({"_id": range(3000), "a": x[:, 0], "b": x[:, 1], "label": np.where(x[:, 0] > 20, 11.3, 9.7)})
+    design = assemble(spark.createDataFrame(frame), ["a", "b"]).select("_id", "features", "label")
+    model = forest.Forest(3, 4, 2, 30).fit(design)
+    assert model.nodes.count() == 12 and model.nodes.where("root >= 0").count() == 0
+    found = model.transform(design).select("label", "prediction").toPandas()
+    assert found["prediction"].to_numpy() == pytest.approx(found["label"].to_numpy())
+
+
+def test_a_large_table_of_one_label_is_a_forest_of_leaves(spark, monkeypatch):
+    design, model = shallow(spark, monkeypatch, 10, lambda x: np.full(len(x), 7.25))
+    assert [r["prediction"] for r in model.transform(design).select("prediction").distinct().collect()] == [pytest.approx(7.25)]
