@@ -1,7 +1,10 @@
 """The binned forest against plain loops; its two phases against each other."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +162,29 @@ def test_nodes_without_a_split_are_not_dealt(spark, monkeypatch):
 def test_a_large_table_of_one_label_is_a_forest_of_leaves(spark, monkeypatch):
     design, model = shallow(spark, monkeypatch, 10, lambda x: np.full(len(x), 7.25))
     assert [r["prediction"] for r in model.transform(design).select("prediction").distinct().collect()] == [pytest.approx(7.25)]
+
+
+def test_dealt_rows_of_a_node_travel_as_one():
+    draw = np.random.default_rng(6)
+    codes, label = draw.integers(0, 9, (500, 3)).astype(np.uint8), draw.normal(size=500)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(500)), pa.array(label), forest._packed(codes)], names=["key", "label", "codes"])
+    tree = forest.grow(codes, label, np.ones(500), 1, 1)
+    known = SimpleNamespace(value={t: (forest._arrays(tree), np.array([0, 1, 1]), np.array([False, True, True])) for t in range(4)})
+    dealt = pa.Table.from_batches(forest._deal(known, 7, 3)(iter([batch])))
+    assert dealt.num_rows == 8
+    keys = np.arange(500, dtype=np.uint64)
+    for r in dealt.to_pylist():
+        weight = forest.bootstrap_weights(keys, 7, r["tree"])
+        own = (weight > 0) & (forest._place(*forest._arrays(tree), codes) == r["root"])
+        assert np.frombuffer(r["label"]).tolist() == label[own].tolist()
+        assert np.frombuffer(r["weight"], np.uint8).tolist() == weight[own].tolist()
+        assert np.frombuffer(r["codes"], np.uint8).tolist() == codes[own].ravel().tolist()
+
+
+def test_splits_by_columns_are_those_of_all_columns():
+    draw = np.random.default_rng(8)
+    codes, node = draw.integers(0, 40, (3000, 4)).astype(np.uint8), draw.integers(0, 9, 3000)
+    weight, moment = draw.integers(1, 4, 3000).astype(float), draw.normal(size=3000)
+    one = forest._best_splits(forest._histograms(codes, node, 9, weight, moment), 3)
+    two = forest._histogram_splits(codes, node, 9, weight, moment, 3)
+    assert all((a == b).all() for a, b in zip(one, two))
