@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabulyst.operators import boosting
+from tabulyst.operators import boosting, forest, trees
 from tabulyst.operators.boosting import BoostedModel, fit_boosted
 from tabulyst.operators.select import assemble
 
@@ -183,3 +183,41 @@ def test_equal_residuals_have_no_split_however_large_their_sums():
         found = boosting._gains(low, (n, n * residual + 1), 1)
         exact = [(int(b) * n - (n * residual + 1) * int(a)) ** 2 / (int(a) * (n - int(a)) * n) if a < n else 0 for a, b in low.T]
         assert found == pytest.approx(exact, rel=1e-12) and found.max() > 0
+
+
+def coded(spark, codes, label):
+    rows = [(int(k), float(y), bytes(c)) for k, (y, c) in enumerate(zip(label, codes))]
+    return spark.createDataFrame(rows, "key bigint, label double, codes binary").repartition(3)
+
+
+def test_depthwise_trees_follow_the_gradient(spark):
+    draw = np.random.default_rng(5)
+    codes = draw.integers(0, 12, (300, 3)).astype(np.uint8)
+    label = codes[:, 0] * 2.0 + (codes[:, 1] > 5) * 7 + draw.normal(size=300)
+    cuts = [np.arange(11) + 0.5] * 3
+    model = boosting.fit_boosted(coded(spark, codes, label), cuts, 4, 0.1, "depthwise", depth=3, first=1.0)
+    found = np.full(300, label.mean())
+    for t in range(4):
+        tree = forest.grow(codes, label - found, np.ones(300), 1, 3)
+        found += (0.1 if t else 1.0) * np.array(tree.value)[forest._place(*forest._arrays(tree), codes)]
+    design = assemble(spark.createDataFrame([(k, *map(float, c)) for k, c in enumerate(codes)], "k int, a double, b double, c double"), ["a", "b", "c"])
+    again = [r["prediction"] for r in model.transform(design).orderBy("k").collect()]
+    assert again == pytest.approx(found.tolist())
+
+
+def test_trees_of_a_share_end_only_when_nothing_is_left(spark):
+    draw = np.random.default_rng(9)
+    codes = draw.integers(0, 4, (400, 2)).astype(np.uint8)
+    cuts, exact = [np.arange(3) + 0.5] * 2, 10.0 + 5.0 * (codes[:, 0] > 1)
+    options = {"depth": 2, "first": 1.0, "share": 0.8, "seed": 3}
+    assert boosting.fit_boosted(coded(spark, codes, exact), cuts, 50, 0.1, "depthwise", **options).trees == 1
+    # One row apart: a draw without it has no split, a later one has.
+    apart = np.where(np.arange(400) == 7, 1.0, 0.0)
+    model = boosting.fit_boosted(coded(spark, codes, apart), cuts, 12, 0.1, "depthwise", **options)
+    assert model.trees == 12
+
+
+def test_shallow_and_deep_families_are_over_exact_histograms():
+    own = trees.boosted("gbt_shallow", 7, 9)
+    assert isinstance(own, boosting.Boosted) and own.grow == "depthwise" and own.rate == 2 * trees.LEARNING_RATE
+    assert own.options == {"depth": 3, "share": 0.8, "first": 1.0, "seed": 7}
