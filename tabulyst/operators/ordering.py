@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -46,12 +46,17 @@ def running_total(
 
     `order` must be unique within the keys (pre-aggregate equal values first).
     """
+    return running_totals(df, keys, order, {amount: name})
+
+
+def running_totals(df: DataFrame, keys: Sequence[str], order: str, amounts: Mapping[str, str]) -> DataFrame:
+    """The same for several amounts, each with the name of its sum, in one order."""
     placed = _placed(df, [*map(F.col, keys), F.col(order)])
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(
         placed.groupBy(*keys, "_part")
-        .agg(F.sum(amount).alias("_amount"))
-        .select(*keys, "_part", F.coalesce(F.sum("_amount").over(before), F.lit(0)).alias("_start"))
+        .agg(*[F.sum(a).alias(f"_amount_{n}") for a, n in amounts.items()])
+        .select(*keys, "_part", *[F.coalesce(F.sum(f"_amount_{n}").over(before), F.lit(0)).alias(f"_start_{n}") for n in amounts.values()])
     )
     inside = (
         Window.partitionBy(*keys, "_part")
@@ -60,6 +65,6 @@ def running_total(
     )
     return (
         placed.join(starts, [*keys, "_part"])
-        .withColumn(name, F.col("_start") + F.sum(amount).over(inside))
-        .drop("_part", "_offset", "_start")
+        .withColumns({n: F.col(f"_start_{n}") + F.sum(a).over(inside) for a, n in amounts.items()})
+        .drop("_part", "_offset", *[f"_start_{n}" for n in amounts.values()])
     )

@@ -9,11 +9,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from ..functions.text import MISSING, absent, col
-from ..scratch import materialize
-from .ordering import running_total
+from .ordering import running_total, running_totals
 from .quantile import DIRECT_VALUES, quantile_table
 
 # Task functions travel by value, so executors need no copy of this package.
@@ -120,38 +119,58 @@ def spearman_target(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
     """(feature, rows, spearman, p_value) of each numeric column against the label.
 
     Rows where the column is null are left out for that column; a side with one distinct value
-    drops the column. Ranks come from value counts, so equal values never pile up in one task.
+    drops the column. Ranks come from value counts, so equal values never pile up in one task. The label
+    is ordered once for all columns; what a column adds are sums for each of its distinct values. `df` is
+    passed over three times.
     """
-    pairs = materialize(
-        _long(df.withColumn("_y", col(label).cast("double")), columns, ["_y"])
-        .where(F.col("v").isNotNull() & F.col("_y").isNotNull())
-        .groupBy(F.col("column").alias("feature"), F.col("v").alias("x"), F.col("_y").alias("y"))
-        .agg(F.count("*").alias("c"))
-    )
-
-    def ranks(side: str) -> DataFrame:
-        counts = pairs.groupBy("feature", side).agg(F.sum("c").alias("n"))
-        total = running_total(counts, ["feature"], side, "n", "upto")
-        return total.select("feature", side, (F.col("upto") - (F.col("n") - 1) / 2).alias(f"r{side}"))
-
-    ranked = pairs.join(ranks("x"), ["feature", "x"]).join(ranks("y"), ["feature", "y"])
-    sizes = pairs.groupBy("feature").agg(
-        F.sum("c").alias("rows"),
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
-    ).where("x0 <> x1 and y0 <> y1").select("feature", "rows")
-    # One row per feature: bounded by the number of columns.
-    centred = ranked.join(F.broadcast(sizes), "feature").select(
-        "feature", "rows", "c",
-        (F.col("rx") - (F.col("rows") + 1) / 2).alias("dx"),
-        (F.col("ry") - (F.col("rows") + 1) / 2).alias("dy"),
+    typed = df.select(col(label).cast("double").alias("y"), *[col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    rows = typed.where(F.col("y").isNotNull())
+    seen = _two_sided(rows, len(columns))
+    total, kept = seen["total"], [i for i in range(len(columns)) if seen[f"kept{i}"]]
+    # The label's ranks are the same for all columns without a null.
+    masks = {i: "c" if seen[f"n{i}"] == total else f"c{i}" for i in kept}
+    counted = {"c": F.count("*")} | {f"c{i}": F.count(f"v{i}") for i, m in masks.items() if m != "c"}
+    of_label = rows.groupBy("y").agg(*[n.alias(c) for c, n in counted.items()])
+    ranked = running_totals(of_label, [], "y", {c: f"upto_{c}" for c in counted})
+    sizes = {"c": total} | {f"c{i}": seen[f"n{i}"] for i in kept}
+
+    def centred(upto: str, n: str, size) -> Column:
+        return F.col(upto) - (F.col(n) - 1) / 2 - (size + F.lit(1)) / 2
+
+    dealt = rows.join(ranked.select("y", *[centred(f"upto_{c}", c, F.lit(sizes[c])).alias(f"d_{c}") for c in counted]), "y")
+    cells = [
+        F.struct(F.lit(columns[i]).alias("feature"), F.lit(sizes[f"c{i}"]).cast("bigint").alias("rows"),
+                 F.col(f"v{i}").alias("x"), F.col(f"d_{m}").alias("dy"))
+        for i, m in masks.items()
+    ]
+    empty = F.expr("array_repeat(named_struct('feature', '', 'rows', 0L, 'x', 0d, 'dy', 0d), 0)")
+    sums = (
+        dealt.select(F.inline(F.array(*cells) if cells else empty))
+        .where(F.col("x").isNotNull())
+        .groupBy("feature", "rows", "x")
+        .agg(F.count("*").alias("n"), F.sum("dy").alias("dy"), F.sum(F.col("dy") * F.col("dy")).alias("dy2"))
     )
-    rho = F.expr("sum(c * dx * dy) / sqrt(sum(c * dx * dx) * sum(c * dy * dy))")
-    result = centred.groupBy("feature", "rows").agg(
+    placed = running_total(sums, ["feature", "rows"], "x", "n", "upto")
+    crossed = placed.withColumn("dx", centred("upto", "n", F.col("rows")))
+    rho = F.expr("sum(dx * dy) / sqrt(sum(n * dx * dx) * sum(dy2))")
+    result = crossed.groupBy("feature", "rows").agg(
         F.greatest(F.lit(-1.0), F.least(F.lit(1.0), rho)).alias("spearman")
     )
     return result.withColumn("p_value", _two_sided_p("spearman", "rows"))
 
 
+def _two_sided(rows: DataFrame, width: int) -> Row:
+    """`total`, and for each v0, v1, ... its count `n` and whether it and `y` have two values there: bounded by the columns."""
+    ends = []
+    for v in (f"v{i}" for i in range(width)):
+        y = F.when(F.col(v).isNotNull(), F.col("y"))
+        ends.append(((F.min(v) != F.max(v)) & (F.min(y) != F.max(y)), F.count(v)))
+    return rows.agg(
+        F.count("*").alias("total"),
+        *[k.alias(f"kept{i}") for i, (k, _) in enumerate(ends)], *[n.alias(f"n{i}") for i, (_, n) in enumerate(ends)],
+    ).first()
+
+
 @F.pandas_udf(T.DoubleType())
 def _two_sided_p(rho: pd.Series, rows: pd.Series) -> pd.Series:
     return pd.Series([correlation_p_value(r, n) for r, n in zip(rho, rows)])

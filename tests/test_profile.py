@@ -7,10 +7,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from tabulyst.operators import ordering, profile
 from tabulyst.operators.profile import (
     category_counts, correlation_p_value, histogram, missing_profile, numeric_summary, pearson_matrix,
     spearman_target,
 )
+from tabulyst.scratch import materialize
 from tabulyst.sources.sinks import write_table
 
 
@@ -87,3 +89,35 @@ def test_written_counts_descend(spark, tmp_path):
         read, read.sort_values(["feature", "rows", "category"], ascending=[True, False, True], ignore_index=True))
     assert len(read) == 14 + 4 and read["rows"].sum() == 2 * len(rows)
     assert read.iloc[0].tolist() == ["a", "Missing", 30]
+
+
+def test_ranks_order_the_label_once(spark, tmp_path, monkeypatch):
+    """What is written between stages grows with the rows, not with rows times columns."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    frame = pd.DataFrame({f"v{i}": rng.integers(0, 12, n).astype(float) for i in range(8)})
+    frame["gaps"] = np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n))
+    frame["none"] = np.nan
+    frame["y"] = np.where(rng.random(n) < 0.4, 7.0, np.arange(n) / 8)
+    frame.loc[:20, "y"] = np.nan
+    plain = frame.astype(object).where(frame.notna(), None)
+    df = spark.createDataFrame(plain, ", ".join(f"{c} double" for c in frame))
+    written = []
+
+    def counting(stage):
+        out = materialize(stage)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(ordering, "materialize", counting)
+    monkeypatch.setattr(profile, "materialize", counting, raising=False)
+    columns = [c for c in frame if c != "y"]
+    found = {r["feature"]: r for r in spearman_target(df, columns, "y").collect()}
+    assert set(found) == set(columns) - {"none"}
+    for name in found:
+        pair = frame[[name, "y"]].dropna().rank()
+        assert found[name]["rows"] == len(pair)
+        assert found[name]["spearman"] == pytest.approx(pair[name].corr(pair.y), abs=1e-12)
+    assert sum(written) < 2 * n + 500
+    nothing = spearman_target(df, ["none"], "y")
+    assert nothing.collect() == [] and nothing.columns == ["feature", "rows", "spearman", "p_value"]
