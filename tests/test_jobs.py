@@ -13,6 +13,10 @@ from tabulyst.plans.predict import predict, predict_frame
 from tabulyst.plans.report import report_tables
 from tabulyst.plans.train import load_artifact, train
 from tabulyst.roles import ORDER_LISTING
+from tabulyst.functions.text import NUMBER, SPACES, finite, parse_money, parse_number, strip
+from tabulyst.operators import ordering
+from tabulyst.scratch import materialize
+from tabulyst.sources import csv as csv_source
 from tabulyst.sources.csv import POSITION, drop_duplicates, read_csv, training_rows
 from tabulyst.sources.demo import make_listings, write_listings
 from tabulyst.sources.sinks import read_json, table_fingerprint, write_csv, write_json
@@ -87,6 +91,46 @@ def test_invalid_training_rows(spark):
     assert summary == {"rows_loaded": 105, "duplicates_removed": 5, "usable_rows": 100}
 
 
+def test_training_rows_are_not_written_twice(spark, tmp_path, monkeypatch):
+    """Rows that were written with their positions are read from there."""
+    written = []
+
+    def counting(stage):
+        out = materialize(stage)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(csv_source, "materialize", counting)
+    monkeypatch.setattr(ordering, "materialize", counting)
+    frame = make_listings(spark, 200)
+    path = str(tmp_path / "rows.csv")
+    write_csv(frame, path)
+    for source in (read_csv(spark, path, position=True), frame):
+        found, summary = training_rows(source)
+        assert summary["usable_rows"] == 200
+        assert sorted(r[0] for r in found.select(POSITION).collect()) == list(range(200))
+        assert sum(n >= 200 for n in written) == 2
+        written.clear()
+
+
+def test_plain_texts_are_values_without_trimming(spark):
+    """The short way for plain texts gives what trimming, the pattern and the cast give."""
+    texts = ["12", "-0", ".5", "5.", "1e99", "1E400", "9" * 101, "9" * 400, "12\n", "12\u0085", "\u00a05", "1e5 ", "1,5", "$12", "", " ",
+             "a b", "a b ", "\u00e4", "a\x1f", "a\n", "1d", "+1e-99", "1e", "-", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    bare = F.btrim("t", F.lit(SPACES))
+    number = F.when(bare.rlike(NUMBER), bare.try_cast("double"))
+    money = F.btrim(F.regexp_replace("t", "[$,]", ""), F.lit(SPACES))
+    paid = F.when(money.rlike(NUMBER), money.try_cast("double"))
+    row = df.select(
+        F.count_if(~strip(F.col("t")).eqNullSafe(bare)),
+        F.count_if(~parse_number(F.col("t")).eqNullSafe(finite(number))),
+        F.count_if(~parse_money(F.col("t")).eqNullSafe(finite(paid))),
+        F.count(parse_number(F.col("t"))),
+    ).first()
+    assert list(row) == [0, 0, 0, 11]
+
+
 def test_strict_json(spark, tmp_path):
     with pytest.raises(ValueError):
         write_json(spark, {"a": float("nan")}, str(tmp_path / "x"))
