@@ -70,12 +70,13 @@ def _narrowed(values, columns, probs, by, limit):
     # Groups are one struct: its equality takes null keys as equal, in grouping and in joins.
     group = F.struct(*map(col, by)) if by else F.struct(F.lit(0).alias("_all"))
     plain = values.select(group.alias("g"), *[col(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    targets = materialize(_targets(plain, columns, probs))
+    keys = ["g", "i"] if by else ["i"]
+    targets = materialize(_targets(plain, columns, probs, keys))
     wanted = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob")) for c in columns for p in probs])
     seen = targets.select("g").distinct() if by else values.sparkSession.range(1).select(group.alias("g"))
     asked = seen.select("g", F.inline(wanted))
     group = ["g", "column", "prob"]
-    band = materialize(_bracketed(plain, targets, len(columns)))
+    band = materialize(_bracketed(plain, targets, len(columns), keys))
     while (band.groupBy(*group).agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] or 0) > limit:
         band = _slots_of_the_ranks(band, group)
     running = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -90,7 +91,14 @@ def _narrowed(values, columns, probs, by, limit):
     return asked.join(found, group, "left").select(*(["g.*"] if by else []), "column", "prob", "value")
 
 
-def _targets(plain, columns, probs):
+def _long(plain, width):
+    """A row (g, i, v) for each value: what follows has few expressions however many the columns."""
+    names = [f"v{i}" for i in range(width)]
+    values = plain.unpivot(["g"], names, "name", "v").where(F.col("v").isNotNull())
+    return values.select("g", F.substring("name", 2, 9).cast("int").alias("i"), "v")
+
+
+def _targets(plain, columns, probs, keys=("g", "i")):
     """A row for each group, column and prob: count, wanted ranks, and bounds `lo`, `hi` of the values there.
 
     A sketch that tasks merge gives the bounds, at twice its error to both sides; a pass of counters checks them against
@@ -103,28 +111,27 @@ def _targets(plain, columns, probs):
         for i in range(len(columns))
     ]
     sketched = plain.groupBy("g").agg(*sketches, *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))])
-    places = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
+    by_column = [F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("m")) for i in range(len(columns))]
 
-    def bound(i, j, side):
+    def bound(j, side):
         within = probs[j] + margin < 1 if side else probs[j] > margin
-        return F.when((F.col(f"n{i}") > CUT_ACCURACY) & F.lit(within), F.get(f"m{i}", F.lit(2 * j + side)))
+        return F.when((F.col("n") > CUT_ACCURACY) & F.lit(within), F.get("m", F.lit(2 * j + side)))
 
-    bounds = [bound(i, j, side).alias(f"{name}{i}_{j}") for i, j in places for side, name in enumerate(("lo", "hi"))]
-    edges = materialize(sketched.select("g", *[f"n{i}" for i in range(len(columns))], *bounds))
+    bounds = [bound(j, side).alias(f"{name}{j}") for j in range(len(probs)) for side, name in enumerate(("lo", "hi"))]
+    edges = materialize(sketched.select("g", F.inline(F.array(*by_column))).select("g", "i", "n", *bounds))
     counters = []
-    for i, j in places:
-        value, low, high = F.col(f"v{i}"), F.col(f"lo{i}_{j}"), F.col(f"hi{i}_{j}")
-        counters += [F.count_if(value < low).alias(f"b{i}_{j}"), F.count_if(_inside(value, low, high)).alias(f"k{i}_{j}")]
-    counted = edges.join(plain.join(edges, "g").groupBy("g").agg(*counters), "g")
+    for j in range(len(probs)):
+        value, low, high = F.col("v"), F.col(f"lo{j}"), F.col(f"hi{j}")
+        counters += [F.count_if(value < low).alias(f"b{j}"), F.count_if(_inside(value, low, high)).alias(f"k{j}")]
+    met = _long(plain, len(columns)).join(edges if "g" in keys else edges.drop("g"), list(keys))
+    counted = edges.join(met.groupBy(*keys).agg(*counters), list(keys), "left")
     cells = [
-        F.struct(
-            F.lit(i).alias("i"), F.lit(columns[i]).alias("column"), F.lit(float(probs[j])).alias("prob"), F.col(f"n{i}").alias("n"),
-            *[F.col(f"{x}{i}_{j}").alias(x) for x in ("lo", "hi", "b", "k")],
-        )
-        for i, j in places
+        F.struct(F.lit(float(p)).alias("prob"), *[F.col(f"{x}{j}").alias(x) for x in ("lo", "hi", "b", "k")])
+        for j, p in enumerate(probs)
     ]
     rank = F.col("prob") * (F.col("n") - 1)
-    ranked = counted.select("g", F.inline(F.array(*cells))).select(
+    names = F.get(F.array(*map(F.lit, columns)), F.col("i")).alias("column")
+    ranked = counted.select("g", "i", names, "n", F.inline(F.array(*cells))).select(
         "*", rank.alias("rank"), F.floor(rank).alias("first"), F.ceil(rank).alias("last"))
     held = (F.col("b") <= F.col("first")) & (F.col("b") + F.col("k") > F.col("last"))
     return ranked.select(
@@ -138,15 +145,12 @@ def _inside(value, low, high):
     return value.isNotNull() & F.coalesce(value >= low, F.lit(True)) & F.coalesce(value <= high, F.lit(True))
 
 
-def _bracketed(plain, targets, width):
+def _bracketed(plain, targets, width, keys=("g", "i")):
     """(value, count) of what lies between the bounds of a target: nothing else is moved."""
-    of_group = targets.groupBy("g").agg(F.collect_list(F.struct("i", "column", "prob", "lo", "hi")).alias("bounds"))
-    values = F.array(*[F.col(f"v{i}") for i in range(width)])
-    found = F.transform("bounds", lambda b: F.struct(
-        b["column"].alias("column"), b["prob"].alias("prob"), F.get(values, b["i"]).alias("v"), b["lo"].alias("lo"), b["hi"].alias("hi")))
-    near = plain.join(of_group, "g").select("g", F.inline(F.filter(found, lambda x: _inside(x["v"], x["lo"], x["hi"]))))
-    collapsed = near.groupBy("g", "column", "prob", "v").agg(F.count("*").alias("c"))
-    return collapsed.join(targets.drop("i", "lo", "hi"), ["g", "column", "prob"])
+    asked = targets.select(*keys, "prob", "lo", "hi")
+    near = _long(plain, width).join(asked, list(keys)).where(_inside(F.col("v"), F.col("lo"), F.col("hi")))
+    collapsed = near.groupBy(*keys, "prob", "v").agg(F.count("*").alias("c"))
+    return collapsed.join(targets.drop("lo", "hi"), [*keys, "prob"]).drop("i")
 
 
 def _slots_of_the_ranks(band, group):

@@ -54,6 +54,15 @@ def test_only_values_near_the_ranks_move(rows):
     assert moved <= 6 * 30_000 / CUT_ACCURACY + 2
 
 
+def test_a_pass_of_counters_has_as_many_for_any_number_of_columns(rows):
+    def counters(width):
+        names = [f"v{i}" for i in range(width)]
+        plain = rows.select(F.struct("kind").alias("g"), *[(F.col("x") + i).alias(n) for i, n in enumerate(names)])
+        return _targets(plain, names, PROBS)._jdf.queryExecution().analyzed().toString().count("count_if")
+
+    assert counters(1) == counters(9) > 0
+
+
 def test_values_that_are_no_numbers_come_last(spark):
     frame = spark.range(4_000).select(F.when(F.col("id") % 2 == 0, float("nan")).otherwise(F.col("id").cast("double")).alias("x"))
     found = column_quantiles(frame, ["x"], [0.25, 0.75], direct_values=100)["x"]
