@@ -25,7 +25,7 @@ from ..functions.text import as_number, clean_category, col
 from ..roles import PEER_PRICE, Roles
 from ..scratch import materialize
 from .ordering import POSITION_BITS, _placed
-from .quantile import column_medians
+from .quantile import quantile_table
 
 NEIGHBOURS = 5
 CELL_BITS = 5
@@ -240,10 +240,9 @@ class PeerComparables:
 
     def _fit(self, training: DataFrame, models: int, rows: int | None) -> "PeerComparables":
         training = materialize(training)
-        medians = []
-        for m in range(models):
-            found = column_medians(training.where(F.col("model") == m), AXES, rows=rows)
-            medians.append([found[a] if found[a] is not None else 0.0 for a in AXES])
+        medians = [[0.0] * len(AXES) for _ in range(models)]
+        for r in quantile_table(training, AXES, [0.5], ["model"], rows=rows).where("value is not null").collect():
+            medians[r["model"]][AXES.index(r["column"])] = r["value"]
         filled = Axes(medians, None, None).fill(training)
         stats = filled.groupBy("model").agg(
             *[F.stddev_pop(a).alias(f"s_{a}") for a in AXES],

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tabulyst.functions.hashing import hash_fold
 from tabulyst.operators.encode import OneHotEncoder, TargetEncoder
 from tabulyst.operators.features import RoleFeatures
+from tabulyst.operators import knn, quantile
 from tabulyst.operators.knn import PeerComparables
+from tabulyst.operators.quantile import quantile_table
 from tabulyst.roles import LISTING, ORDER_LISTING
 from tabulyst.sources.demo import make_listings
 
@@ -130,3 +132,23 @@ def test_comparables_with_fewer_rows_than_neighbours(spark):
     df = listing_frame(spark, 3)
     found = PeerComparables(ORDER_LISTING).fit(df, "label").transform(df).toPandas()
     np.testing.assert_allclose(found.Peer_Comp_Price, brute(df.toPandas(), found, 3), rtol=1e-9)
+
+
+def test_folds_share_one_pass_for_medians(spark, monkeypatch):
+    calls = []
+
+    def counting(*args, **options):
+        calls.append(1)
+        return quantile_table(*args, **options)
+
+    monkeypatch.setattr(quantile, "quantile_table", counting)
+    monkeypatch.setattr(knn, "quantile_table", counting, raising=False)
+    rows = [(f"{i:03d}", 10.0 + i, None if i % 9 == 0 else float(i % 7), 2000.0, 1.0 * i, 2.0, 3.0, None, "g", i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, label double, quality double, year_sold double, size_a double, size_b double, "
+                                     "size_c double, year_built double, grp string, fold int")
+    peers = PeerComparables(ORDER_LISTING, cell_bits=3).fit_folds(df, "label", "fold", 3)
+    assert len(calls) == 1
+    for fold, (size, quality, age) in enumerate(peers.axes.medians):
+        others = [r for r in rows if r[-1] != fold]
+        assert size == np.median([r[4] + 5.0 for r in others]) and age == 0.0
+        assert quality == np.median([r[2] for r in others if r[2] is not None])
