@@ -188,3 +188,66 @@ def test_splits_by_columns_are_those_of_all_columns():
     one = forest._best_splits(forest._histograms(codes, node, 9, weight, moment), 3)
     two = forest._histogram_splits(codes, node, 9, weight, moment, 3)
     assert all((a == b).all() for a, b in zip(one, two))
+
+
+def test_draws_by_leading_bits_are_those_of_all_bits():
+    edges = np.concatenate([forest._LIMITS[:-1] + np.uint64(x) for x in (0, 1)] + [forest._LIMITS[:-1] - np.uint64(1)]) << np.uint64(11)
+    drawn = np.concatenate([edges, np.random.default_rng(3).integers(0, 2**64, 100_000, np.uint64)])
+    keys = np.arange(100_000, dtype=np.uint64)
+    salt = forest._mixed(np.array([7 * 1_000_003 + 3 + 1], np.uint64) * forest._ODD)
+    for hashes, found in ((drawn, None), (forest._mixed(keys ^ salt), forest._times(keys, 7, 3))):
+        plain = ((hashes >> np.uint64(11)).astype(float)[:, None] / 2.0**53 >= forest._DRAWS).sum(1)
+        by_bits = forest._BY_BITS[hashes >> np.uint64(48)]
+        told = by_bits != forest._UNSURE
+        assert told.mean() > 0.99 and (by_bits[told] == plain[told]).all()
+        if found is not None:
+            assert (found == plain).all()
+
+
+def test_columns_counted_together_give_the_sums_of_each():
+    draw = np.random.default_rng(11)
+    sizes = np.array([3, 200, 16, 16, 1, 5, 256, 2])
+    codes = np.stack([draw.integers(0, s, 4000) for s in sizes]).astype(np.uint8)
+    joint, value, node = forest.Joint(sizes), draw.normal(size=4000), draw.integers(0, 3, 4000)
+    assert len(joint.groups) < len(sizes) and sorted(sum(joint.groups, [])) == list(range(8))
+    sums = np.zeros((3, joint.count))
+    for start, own in zip(joint.start, joint.place(codes)):
+        np.add.at(sums, (node, start + own.astype(int)), value)
+    found, first = joint.apart(sums), np.concatenate(([0], sizes.cumsum()))
+    for i, size in enumerate(sizes):
+        for k in range(3):
+            assert found[k, first[i] : first[i + 1]] == pytest.approx(np.bincount(codes[i][node == k], value[node == k], size))
+
+
+def test_many_binary_columns_do_not_blow_up_the_cells():
+    sizes = np.full(5000, 2)
+    assert forest.Joint(sizes).count <= 2 * sizes.sum()
+
+
+def test_rows_are_packed_in_blocks(spark, monkeypatch):
+    frame = [(i, float(i) / 3, bytes([i % 7, i % 11])) for i in range(1000)]
+    rows = spark.createDataFrame(frame, "key long, label double, codes binary").coalesce(1)
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 300)
+    blocks = forest.packed(rows, ("key", "label"), 2).toArrow()
+    assert blocks.column("rows").to_pylist() == [300, 300, 300, 100]
+    parts = list(forest.blocks_of(iter(blocks.to_batches()), ("key", "label"), 2))
+    keys, labels = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    codes = np.concatenate([p[2] for p in parts], axis=1)
+    assert sorted(zip(keys.tolist(), labels.tolist(), map(bytes, codes.T))) == frame
+
+
+def test_only_the_smaller_sibling_is_filled(spark, monkeypatch):
+    asked, fill = [], forest._fill
+
+    def seen(known, *more):
+        asked.append({t: ask.tolist() for t, (_, ask, _) in known.value[0].items()})
+        return fill(known, *more)
+
+    monkeypatch.setattr(forest, "_fill", seen)
+    _, model = shallow(spark, monkeypatch, 10)
+    assert asked[0] == {t: [0] for t in range(6)}
+    tree = model.nodes.where("tree = 0").orderBy("node").toPandas()
+    for level, nodes in enumerate(x[0] for x in asked[1:]):
+        assert len({(n - 1) // 2 for n in nodes}) == len(nodes) <= 2**level
+    # As many passes as levels; every split is known though no pair of siblings was filled.
+    assert len(asked) == 5 and (tree["col"] >= 0).sum() > sum(len(x[0]) for x in asked)
