@@ -4,6 +4,7 @@ A pass over the rows fills histograms of the nodes whose splits are still unknow
 driver keeps one sum for each cell of each open node, so its memory follows leaves and codes, never rows. Only the smaller
 of two siblings is filled, the other one is the parent less its sibling. Residuals are whole numbers of a fixed unit, so
 sums are exact: trees depend neither on the order of rows nor on how they are dealt to tasks, also after a task is lost.
+Rows travel packed in blocks, columns of few codes are counted together, and a row's place in a tree is told by masks.
 
 `leafwise` splits the leaf of greatest gain until there are `leaves`. One pass fills all nodes that the order known so far
 would split, so there are about as many passes as levels. `symmetric` takes for every level the split of greatest gain summed
@@ -25,17 +26,19 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import discard, materialize
-from .forest import HISTOGRAM_BYTES, ForestModel, Tree, _arrays, _codes, _place, _summed, binned, cut_points
+from .forest import BLOCK_ROWS, GROUP_BYTES, HISTOGRAM_BYTES, ForestModel, Joint, Tree, _arrays, _place, _summed, binned, blocks_of, cut_points, packed, pass_tasks, reached, slots, steps_to
 
 # Task functions travel by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Trees after which residuals are written, so that a pass walks fewer than that many.
 WRITE_TREES = 8
-#: Rows summed at once as doubles, which hold whole numbers of up to 53 bits; bits of a residual; bits of a whole sum.
-SUM_ROWS, VALUE_BITS, SUM_BITS = 1 << 14, 38, 61
+#: Bits of a residual and of a whole sum. A block's rows are summed as doubles, which hold whole numbers of up to 53 bits.
+VALUE_BITS, SUM_BITS = min(38, 52 - BLOCK_ROWS.bit_length() + 1), 61
 #: Least rows of a task: a pass lasts as long as its tasks start, so a few rows are not dealt to many.
 TASK_ROWS = 1 << 17
+#: Bytes of the tasks' sums that the driver adds up itself; more are added up by Spark.
+COLLECT_BYTES = 16 << 20
 LEAVES, DEPTH, MIN_LEAF = 31, 6, 20
 _LESS = (1 << 30) - 1
 
@@ -225,36 +228,76 @@ def _leaf(shape, codes: np.ndarray) -> np.ndarray:
     return at
 
 
-def _left_over(residual: np.ndarray, codes: np.ndarray, done, rate: float) -> np.ndarray:
-    for shape, values in done:
-        residual = residual - rate * values[_leaf(shape, codes)]
+class _Walk:
+    """Leaves of a tree or of the answers' bits for rows of codes (column, row)."""
+
+    def __init__(self, shape, leaves: Sequence[int] | None = None):
+        self.bits = shape if isinstance(shape, list) else None
+        if self.bits is None:
+            self.shape = shape
+            self.nodes = np.flatnonzero(shape[0] < 0).tolist() if leaves is None else list(leaves)
+            self.steps = steps_to(shape, self.nodes)
+        else:
+            self.nodes = list(range(1 << len(shape))) if leaves is None else list(leaves)
+
+    def answers(self, codes: np.ndarray) -> np.ndarray:
+        at = np.zeros(codes.shape[1], np.uint8 if len(self.bits) <= 8 else np.int64)
+        for level, (column, code) in enumerate(self.bits):
+            at += (codes[column] > code) * at.dtype.type(1 << level)
+        return at
+
+    def slots(self, codes: np.ndarray) -> np.ndarray:
+        """For each row the place, from 1, of its leaf among those asked for; 0 if it is none of them."""
+        if self.bits is None:
+            return slots(reached(self.steps, codes, np.ones(codes.shape[1], bool)), self.nodes, codes.shape[1])
+        table = np.zeros(1 << len(self.bits), np.int64)
+        table[self.nodes] = np.arange(1, len(self.nodes) + 1)
+        return table.take(self.answers(codes))
+
+    def values(self, codes: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """The value of each row's leaf."""
+        if self.bits is not None:
+            return values.take(self.answers(codes))
+        if len(self.nodes) > 255:
+            return values.take(_place(*self.shape, codes.T))
+        return values[self.nodes].take(self.slots(codes) - np.uint8(1))
+
+
+def _walks(done) -> list[tuple[_Walk, np.ndarray]]:
+    return [(_Walk(shape), values) for shape, values in done]
+
+
+def _left_over(residual: np.ndarray, codes: np.ndarray, walks, rate: float) -> np.ndarray:
+    for walk, values in walks:
+        residual = residual - walk.values(codes, rate * values)
     return residual
 
 
 def _sum_cells(known, cells: Cells):
     """Sums of the open leaves' cells over the task's rows: (cell, rows, residual in units)."""
+    joint = Joint(cells.sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, rate, shape, leaves, unit = known.value
-        order = np.argsort(leaves)
-        ranked, out = leaves[order], np.zeros((len(leaves), 2, cells.count), np.int64)
-        for batch in batches:
-            every, residuals = _codes(batch.column("codes"), len(cells.sizes)), batch.column("residual").to_numpy()
-            for low in range(0, len(every), SUM_ROWS):
-                codes = every[low : low + SUM_ROWS]
-                at = _leaf(shape, codes)
-                slot = np.minimum(np.searchsorted(ranked, at), len(ranked) - 1)
-                inside = np.flatnonzero(ranked[slot] == at)
-                if not len(inside):
+        walks, asked, out = _walks(done), _Walk(shape, leaves.tolist()), np.zeros((2, len(leaves) * joint.count), np.int64)
+        root = len(shape[0]) == 1 if asked.bits is None else not asked.bits
+        for residuals, codes in blocks_of(batches, ("residual",), len(cells.sizes)):
+            rows, slot = slice(None), 0
+            if not root:
+                slot = asked.slots(codes)
+                rows = np.flatnonzero(slot > 0)
+                if not len(rows):
                     continue
-                slot, codes = order[slot[inside]], codes[inside]
-                value = np.rint(_left_over(residuals[low : low + SUM_ROWS][inside], codes, done, rate) / unit)
-                for i, size in enumerate(cells.sizes.tolist()):
-                    cell, wide = slot * size + codes[:, i], len(leaves) * size
-                    own = slice(int(cells.start[i]), int(cells.start[i + 1]))
-                    out[:, 0, own] += np.bincount(cell, minlength=wide).reshape(-1, size)
-                    out[:, 1, own] += np.bincount(cell, value, wide).reshape(-1, size).astype(np.int64)
-        rows, residual = out[:, 0].ravel(), out[:, 1].ravel()
+                slot = (slot.take(rows).astype(np.int64) - 1) * joint.count
+                codes, residuals = codes.take(rows, 1), residuals.take(rows)
+            # A row and its residual are added as one complex number.
+            pair, found = np.ones(len(residuals), complex), np.zeros(out.shape[1], complex)
+            pair.imag = np.rint(_left_over(residuals, codes, walks, rate) / unit)
+            for start, own in zip(joint.start.tolist(), joint.place(codes)):
+                np.add.at(found[start:], slot + own.astype(np.int64), pair)
+            out[0] += found.real.astype(np.int64)
+            out[1] += found.imag.astype(np.int64)
+        rows, residual = (joint.apart(x.reshape(len(leaves), -1)).ravel() for x in out)
         some = np.flatnonzero(rows)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(rows[some]), pa.array(residual[some])], names=["cell", "n", "m"])
 
@@ -264,10 +307,10 @@ def _sum_cells(known, cells: Cells):
 def _write_residuals(known, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, rate = known.value
+        walks = _walks(done)
         for batch in batches:
-            codes = batch.column("codes")
-            left = _left_over(batch.column("residual").to_numpy(), _codes(codes, width), done, rate)
-            yield pa.RecordBatch.from_arrays([pa.array(left), codes], names=["residual", "codes"])
+            left = [_left_over(residual, codes, walks, rate).tobytes() for residual, codes in blocks_of(iter([batch]), ("residual",), width)]
+            yield batch.set_column(batch.schema.get_field_index("residual"), "residual", pa.array(left, pa.binary()))
 
     return run
 
@@ -329,20 +372,23 @@ def fit_boosted(rows: DataFrame, cuts: list[np.ndarray], trees: int, rate: float
     grown = 0
     if cuts and seen["high"] > seen["low"]:
         unit = _unit(spread, bits)
-        tasks = -(-seen["n"] // TASK_ROWS)
-        state = materialize(rows.select((y - F.lit(start)).alias("residual"), "codes").coalesce(tasks))
+        tasks = pass_tasks(spark, seen["n"], TASK_ROWS)
+        state = materialize(packed(rows.select((y - F.lit(start)).alias("residual"), "codes").repartition(tasks), ("residual",), len(cuts)), GROUP_BYTES)
         done: list = []
 
-        at_once = max(1, HISTOGRAM_BYTES // (16 * cells.count))
+        at_once = max(1, HISTOGRAM_BYTES // (16 * Joint(cells.sizes).count))
 
         def fill(shape, leaves: Sequence[int]) -> np.ndarray:
             if len(leaves) > at_once:
                 return np.concatenate([fill(shape, leaves[i : i + at_once]) for i in range(0, len(leaves), at_once)])
             known = spark.sparkContext.broadcast((done, rate, shape, np.array(leaves, np.int64), unit))
             found = state.coalesce(tasks).mapInArrow(_sum_cells(known, cells), "cell bigint, n bigint, m bigint")
-            table = found.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).toArrow()
+            if tasks * len(leaves) * cells.count * 24 > COLLECT_BYTES:
+                found = found.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+            table = found.toArrow()
             sums = np.zeros((2, len(leaves) * cells.count), np.int64)
-            sums[:, table.column("cell").to_numpy()] = [table.column(x).to_numpy() for x in ("n", "m")]
+            for own, x in zip(sums, ("n", "m")):
+                np.add.at(own, table.column("cell").to_numpy(), table.column(x).to_numpy())
             known.unpersist()
             return np.ascontiguousarray(sums.reshape(2, len(leaves), cells.count).transpose(1, 0, 2))
 
@@ -361,7 +407,7 @@ def fit_boosted(rows: DataFrame, cuts: list[np.ndarray], trees: int, rate: float
             done.append((shape, values))
             if len(done) == write_trees and grown < trees:
                 known = spark.sparkContext.broadcast((done, rate))
-                after = materialize(state.coalesce(tasks).mapInArrow(_write_residuals(known, len(cuts)), "residual double, codes binary"))
+                after = materialize(state.coalesce(tasks).mapInArrow(_write_residuals(known, len(cuts)), state.schema), GROUP_BYTES)
                 discard(state)
                 state, done = after, []
         discard(state)

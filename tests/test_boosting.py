@@ -183,3 +183,29 @@ def test_equal_residuals_have_no_split_however_large_their_sums():
         found = boosting._gains(low, (n, n * residual + 1), 1)
         exact = [(int(b) * n - (n * residual + 1) * int(a)) ** 2 / (int(a) * (n - int(a)) * n) if a < n else 0 for a, b in low.T]
         assert found == pytest.approx(exact, rel=1e-12) and found.max() > 0
+
+
+@pytest.mark.parametrize("grow", ["leafwise", "symmetric"])
+def test_sums_added_by_the_driver_are_those_of_spark(spark, table, grow, monkeypatch):
+    rows = table[2]
+    monkeypatch.setattr(boosting, "TASK_ROWS", 40)
+    one = fit_boosted(rows, CUTS, 3, 0.1, grow, write_trees=2, min_leaf=2)
+    monkeypatch.setattr(boosting, "COLLECT_BYTES", 0)
+    two = fit_boosted(rows, CUTS, 3, 0.1, grow, write_trees=2, min_leaf=2)
+    assert sorted(map(tuple, one.nodes.collect())) == sorted(map(tuple, two.nodes.collect()))
+
+
+@pytest.mark.parametrize("leaves", [6, 200, 400])
+def test_leaves_by_masks_are_those_of_a_walk(leaves):
+    codes, label = rows_of(3, n=900)
+    cells = boosting.Cells(np.full(4, 9))
+    tree, totals = boosting.leafwise(filler(codes, label, cells), cells, leaves, 1)
+    shape, values = boosting._arrays(tree), np.array([m / n for n, m in totals])
+    by_column = np.ascontiguousarray(codes.T)
+    assert (boosting._Walk(shape).values(by_column, values) == values[boosting._leaf(shape, codes)]).all()
+    bits = [(0, 3), (1, 4), (2, 0), (3, 7)]
+    values = np.arange(16.0)
+    walk = boosting._Walk(bits, [3, 8, 15])
+    at = boosting._leaf(bits, codes)
+    assert (walk.values(by_column, values) == values[at]).all()
+    assert (walk.slots(by_column) == np.select([at == 3, at == 8, at == 15], [1, 2, 3])).all()
