@@ -251,3 +251,26 @@ def test_only_the_smaller_sibling_is_filled(spark, monkeypatch):
         assert len({(n - 1) // 2 for n in nodes}) == len(nodes) <= 2**level
     # As many passes as levels; every split is known though no pair of siblings was filled.
     assert len(asked) == 5 and (tree["col"] >= 0).sum() > sum(len(x[0]) for x in asked)
+
+
+def test_small_nodes_are_grown_in_parts_of_few_rows(monkeypatch):
+    draw = np.random.default_rng(12)
+    codes = draw.integers(0, 200, (6000, 3)).astype(np.uint8)
+    label, weight = codes[:, 0] % 17 + draw.normal(size=6000), draw.integers(0, 3, 6000).astype(float)
+    whole = forest.grow(codes, label, weight, 2, 30)
+    seen, sort = [], forest._sorted_splits
+    monkeypatch.setattr(forest, "_sorted_splits", lambda codes, *more: seen.append(len(codes)) or sort(codes, *more))
+    monkeypatch.setattr(forest, "NEAR_ROWS", 256)
+    parts = forest.grow(codes, label, weight, 2, 30)
+    assert len(seen) > 20 and max(seen) <= 256
+    assert len(parts.column) == len(whole.column)
+    value = [np.array(t.value)[forest._place(*forest._arrays(t), codes)] for t in (whole, parts)]
+    assert value[0] == pytest.approx(value[1])
+
+
+def test_equal_splits_go_to_the_first_column():
+    draw = np.random.default_rng(13)
+    one = draw.integers(0, 250, 70_000).astype(np.uint8)
+    codes = np.stack([one, one, one], axis=1)
+    tree = forest.grow(codes, one + draw.normal(size=70_000) * 50, np.ones(70_000), 1, 30)
+    assert set(tree.column) == {-1, 0}
