@@ -259,7 +259,7 @@ class _Walk:
         if self.bits is not None:
             return values.take(self.answers(codes))
         if len(self.nodes) > 255:
-            return values.take(_place(*self.shape, codes.T))
+            return values.take(_leaf(self.shape, codes.T))
         return values[self.nodes].take(self.slots(codes) - np.uint8(1))
 
 
